@@ -18,7 +18,7 @@ earlier ones in the decoded result); fields keep the position of their first ent
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemsg.sources.conversions import na_to_null
@@ -135,7 +135,8 @@ def build_codec(
     needs; the result is the same for those fields, only cheaper to decode.
     """
     if family_years is not None:
-        fy = family_years.select("family", "year").distinct()
+        # configuration-sized (one row per configured family and year)
+        fy = F.broadcast(family_years.select("family", "year").distinct())
         layouts = layouts.join(fy, ["family", "year"], "left_semi")
         linear = linear.join(fy, ["family", "year"], "left_semi")
         table = table.join(fy, ["family", "year"], "left_semi")
@@ -156,45 +157,52 @@ def build_codec(
         F.when(F.col("id").rlike(INT_TEXT), F.trim("id").try_cast("bigint")).alias("id_int"),
     )
     key = ["family", "year", "msg"]
-    # a position that cannot be parsed fails the whole message, as in the reference
-    broken = entries.groupBy(*key).agg(
-        F.bool_or(~F.col("pos_ok")).alias("broken"), F.first("layout_name").alias("layout_name")
-    )
-    w_last = Window.partitionBy(*key, "description").orderBy(F.col("ord").desc())
-    w_first = Window.partitionBy(*key, "description")
-    entries = (
-        entries.withColumn("_first_ord", F.min("ord").over(w_first))
-        .withColumn("_rn", F.row_number().over(w_last))
-        .filter("_rn = 1")
-        .drop("_rn", "layout_name")
-    )
-    if descriptions is not None:
-        entries = entries.join(descriptions.select("msg", "description").distinct(), ["msg", "description"], "left_semi")
-
-    lin = linear_rules(linear)
-    tab = table_rules(table)
-    has_lin = linear.select("family", "year").distinct().withColumn("has_linear", F.lit(True))
-    has_tab = table.select("family", "year").distinct().withColumn("has_table", F.lit(True))
+    lin = F.broadcast(linear_rules(linear))  # conversion-file sized
+    tab = F.broadcast(table_rules(table))  # conversion-file sized
+    has_lin = F.broadcast(linear.select("family", "year").distinct().withColumn("has_linear", F.lit(True)))
+    has_tab = F.broadcast(table.select("family", "year").distinct().withColumn("has_table", F.lit(True)))
 
-    fields = (
+    field = F.struct(
+        F.col("ord"), "description", "raw_position", "size", "type", "name", "id",
+        "b", "t", "n", "k", "id_int",
+        F.when(F.col("type") == "L", F.col("lin")).alias("lin"),
+        F.when(F.col("type") == "T", F.coalesce("tmap", F.create_map().cast("map<string,string>"))).alias("tmap"),
+    )
+    per_msg = (
         entries.join(lin, ["family", "year", "id_int"], "left")
         .join(tab, ["family", "year", "id_int"], "left")
-        .select(
-            *key,
-            F.struct(
-                F.col("_first_ord").alias("ord"),
-                "description", "raw_position", "size", "type", "name", "id",
-                "b", "t", "n", "k", "id_int",
-                F.when(F.col("type") == "L", F.col("lin")).alias("lin"),
-                F.when(F.col("type") == "T", F.coalesce("tmap", F.create_map().cast("map<string,string>"))).alias("tmap"),
-            ).alias("f"),
-        )
         .groupBy(*key)
-        .agg(sort_by_ord(F.collect_list("f")).alias("fields"))
+        .agg(
+            F.collect_list(field).alias("all_fields"),
+            # a position that cannot be parsed fails the whole message, as in the reference
+            F.bool_or(~F.col("pos_ok")).alias("broken"),
+            F.first("layout_name").alias("layout_name"),
+        )
+    )
+    # last entry of each description wins; it keeps the place of the first entry
+    last = F.filter(
+        "all_fields",
+        lambda x: ~F.exists(
+            "all_fields", lambda y: (y["description"] == x["description"]) & (y["ord"] > x["ord"])
+        ),
     )
+    placed = F.transform(
+        last,
+        lambda x: x.withField(
+            "ord",
+            F.array_min(
+                F.transform(F.filter("all_fields", lambda y: y["description"] == x["description"]), lambda y: y["ord"])
+            ),
+        ),
+    )
+    out = per_msg.withColumn("fields", sort_by_ord(placed)).drop("all_fields")
+    if descriptions is not None:
+        wanted = descriptions.groupBy("msg").agg(F.collect_set("description").alias("_wanted"))
+        out = out.join(F.broadcast(wanted), "msg", "left").withColumn(
+            "fields", F.filter("fields", lambda f: F.array_contains(F.coalesce("_wanted", F.array().cast("array<string>")), f["description"]))
+        ).drop("_wanted")
     return (
-        broken.join(fields, key, "left")
-        .join(has_lin, ["family", "year"], "left")
+        out.join(has_lin, ["family", "year"], "left")
         .join(has_tab, ["family", "year"], "left")
         .select(
             *key,
@@ -227,10 +235,13 @@ def load_codec(spark, root: str, catalogue=None, declared_only: bool = False) ->
     if catalogue is not None:
         fy = spark.createDataFrame(catalogue.family_years(), "family string, year int")
         ecus = spark.createDataFrame([(m.msg, m.ecu) for m in catalogue.messages], "msg string, ecu string")
-        layouts = layouts.join(ecus, ["msg", "ecu"], "left_semi")
+        layouts = layouts.join(F.broadcast(ecus), ["msg", "ecu"], "left_semi")
         if declared_only:
             descs = catalogue.output_columns_df(spark).select("msg", "description")
-    return build_codec(layouts, read_linear(spark, root), read_table(spark, root), fy, descs)
+    codec = build_codec(layouts, read_linear(spark, root), read_table(spark, root), fy, descs)
+    # The codec is configuration-sized and read by several joins of one run:
+    # keep it after its first use instead of re-reading the files each time.
+    return codec.persist()
 
 
 def align_codec(codec: DataFrame, catalogue) -> DataFrame:

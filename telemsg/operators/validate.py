@@ -139,7 +139,7 @@ def length_semi_filter(
     family_col: str = "MODEL_CODE", year_col: str = "MODEL_YEAR",
 ) -> DataFrame:
     """J4 (F5 re-aimed): rows whose message has a configured (family, year, length)."""
-    dim = lengths.filter(F.col("msg") == msg).select(
+    dim = F.broadcast(lengths).filter(F.col("msg") == msg).select(
         F.col("family").alias("_fam"), F.col("year").alias("_yr"), F.col("length").alias("_len")
     )
     cond = (

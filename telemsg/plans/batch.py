@@ -32,7 +32,7 @@ def family_dimension(catalogue: Catalogue, codec: DataFrame, spark=None) -> Data
     """One row per (family, year): {m}_reference_len and {m}_codec for every message."""
     spark = spark or codec.sparkSession
     msgs = catalogue.message_codes
-    lengths = catalogue.lengths_df(spark).groupBy("family", "year").agg(
+    lengths = F.broadcast(catalogue.lengths_df(spark)).groupBy("family", "year").agg(
         *[F.max(F.when(F.col("msg") == m, F.col("length"))).alias(f"{m}_reference_len") for m in msgs]
     )
     codecs = codec.groupBy("family", "year").agg(

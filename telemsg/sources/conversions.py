@@ -15,7 +15,7 @@ lookup by constructed file name would miss it.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,14 +74,10 @@ def _read_or_empty(reader, path: str, schema: T.StructType, spark: SparkSession)
 
 
 def _file_order(df: DataFrame) -> DataFrame:
-    """``ord``: 0-based row position inside each file. Conversion files are far
-    below one split, so a file is read by one task in file order."""
-    w = Window.partitionBy("_path").orderBy("_mono")
-    return (
-        df.withColumn("_mono", F.monotonically_increasing_id())
-        .withColumn("ord", F.row_number().over(w) - 1)
-        .drop("_mono")
-    )
+    """``ord``: increases with the row position inside each file. A conversion
+    file is far below one split, so it is read by one task in file order, and
+    ``ord`` is only ever compared between rows of the same file."""
+    return df.withColumn("ord", F.monotonically_increasing_id())
 
 
 def read_layouts(spark: SparkSession, root: str) -> DataFrame:
