@@ -48,6 +48,7 @@ def python_float_text(x: Column) -> Column:
         .when(F.isnan(x), F.lit("NaN"))
         .when(x == float("inf"), F.lit("Infinity"))
         .when(x == float("-inf"), F.lit("-Infinity"))
+        .when(~s.contains("E"), s)
         .when(exp.isNull(), s)
         .when((exp >= -4) & (exp < 16), fixed)
         .otherwise(sci)

@@ -20,28 +20,41 @@ DECODED_FIELD = (
 )
 
 
-def decode_fields(msg: Column, codec: Column, length: Column | None = None, all_hex: Column | None = None) -> Column:
+def decode_fields(
+    msg: Column,
+    codec: Column,
+    length: Column | None = None,
+    all_hex: Column | None = None,
+    slim: bool = False,
+) -> Column:
     """array<DECODED_FIELD> in codec field order, or null when the message is
     null or the codec is missing or broken. Null codec fields (declared but
-    absent from the layout) give null elements."""
+    absent from the layout) give null elements. With ``slim`` the elements hold
+    only ``decoded_value`` and ``raw_value`` (enough for typed columns)."""
     length = F.length(msg) if length is None else length
     all_hex = is_all_hex(msg) if all_hex is None else all_hex
     has_linear, has_table = codec["has_linear"], codec["has_table"]
+    fields = codec["fields"]
 
+    # pass 1: raw value or error per field, carried next to its field. (An
+    # outer array referenced inside a lambda is re-evaluated per element, so the
+    # result travels inside the array instead.)
     extracted = F.transform(
-        codec["fields"],
+        fields,
         lambda f: F.when(
             f.isNotNull(),
             F.struct(f.alias("f"), extract_field(msg, length, all_hex, f["b"], f["t"], f["n"], f["k"]).alias("x")),
         ),
     )
 
+    # pass 2: conversion of each raw value
     def convert(y: Column) -> Column:
         f, x = y["f"], y["x"]
         c = convert_field(f, x["raw"], x["err"], has_linear, has_table)
-        return F.when(
-            y.isNotNull(),
-            F.struct(
+        if slim:
+            out = F.struct(c["decoded_value"].alias("decoded_value"), c["raw_value"].alias("raw_value"))
+        else:
+            out = F.struct(
                 f["description"].alias("description"),
                 c["decoded_value"].alias("decoded_value"),
                 f["raw_position"].alias("raw_position"),
@@ -49,8 +62,8 @@ def decode_fields(msg: Column, codec: Column, length: Column | None = None, all_
                 f["type"].alias("msg_type"),
                 f["id"].alias("msg_id"),
                 c["raw_value"].alias("raw_value"),
-            ),
-        )
+            )
+        return F.when(y.isNotNull(), out)
 
     decoded = F.transform(extracted, convert)
     return F.when(msg.isNotNull() & codec.isNotNull() & ~F.coalesce(codec["broken"], F.lit(False)), decoded)
@@ -62,13 +75,14 @@ def decode(
     codec_col: str,
     out_col: str,
     valid_col: str | None = None,
+    slim: bool = False,
 ) -> DataFrame:
     """Add ``out_col`` = decoded fields of ``msg_col`` using the codec struct in
     ``codec_col``; with ``valid_col`` only valid messages are decoded (D13).
     Message length and hex check are computed once per row, outside the field loop."""
     ln, hx = f"__{out_col}_len", f"__{out_col}_hex"
     msg = F.col(msg_col)
-    out = decode_fields(msg, F.col(codec_col), F.col(ln), F.col(hx))
+    out = decode_fields(msg, F.col(codec_col), F.col(ln), F.col(hx), slim=slim)
     if valid_col is not None:
         out = F.when(F.col(valid_col), out)
     return (

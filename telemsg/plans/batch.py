@@ -61,7 +61,8 @@ def decode_messages(df: DataFrame, catalogue: Catalogue, how: str = "all", inclu
     if how is not None:
         df = filter_valid(df, [s.msg for s in specs], how)
     for s in specs:
-        df = decode(df, s.column_name, f"{s.msg}_codec", f"{s.msg}_decoded", valid_col=f"{s.msg}_is_valid")
+        df = decode(df, s.column_name, f"{s.msg}_codec", f"{s.msg}_decoded", valid_col=f"{s.msg}_is_valid",
+                    slim=aligned and not (include_json or keep_decoded))
     if include_json:
         df = df.withColumns(
             {
