@@ -29,10 +29,18 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_vehicle(telemetry_from_events(spark, sf_dir), vehicle_dimension(vehicles_from_customer(spark, sf_dir)))
 
 
+_CODECS: dict = {}
+
+
 def _codec(spark: SparkSession, declared_only: bool):
-    cat = sample_catalogue()
-    codec = load_codec(spark, cat.conversions_path, cat, declared_only=declared_only)
-    return cat, (align_codec(codec, cat) if declared_only else codec)
+    """The sample codec, built once per session (it is configuration; the
+    persisted DataFrame is reused by every query of the run)."""
+    key = (id(spark), declared_only)
+    if key not in _CODECS:
+        cat = sample_catalogue()
+        codec = load_codec(spark, cat.conversions_path, cat, declared_only=declared_only)
+        _CODECS[key] = (cat, align_codec(codec, cat) if declared_only else codec)
+    return _CODECS[key]
 
 
 def full_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
