@@ -15,7 +15,8 @@ from telemsg.operators.quality import counts_by, distinct_values
 from telemsg.operators.timeline import first_n_per_group, forward_fill
 from telemsg.operators.union import union_by_name
 from telemsg.operators.validate import (
-    add_reference_lengths, add_validity, any_usable, codec_coverage, filter_valid, length_filter, length_flags,
+    add_reference_lengths, add_validity, any_usable, codec_coverage, filter_valid, good_input_marker, length_filter,
+    length_flags,
     length_semi_filter, length_summary,
 )
 from telemsg.plans.batch import attach_family_dimension, decode_pipeline, family_dimension
@@ -148,6 +149,13 @@ def length_summary_query(spark, sf_dir):
     return length_summary(flagged, list(MSG_COLS))
 
 
+def good_input(spark, sf_dir):
+    """goodDiagInput_{msg} = "x" when the message has its expected length, else ""."""
+    cat = sample_catalogue()
+    flagged = length_flags(_joined(spark, sf_dir), cat.lengths_df(spark), list(MSG_COLS), MSG_COLS)
+    return good_input_marker(flagged, list(MSG_COLS)).select("event_id", "goodDiagInput_A001", "goodDiagInput_2947")
+
+
 def length_filter_query(spark, sf_dir):
     """Keep rows whose messages all have their expected length."""
     cat = sample_catalogue()
@@ -204,6 +212,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "validity_any": validity_any,
     "any_usable": any_usable_query,
     "length_summary": length_summary_query,
+    "good_input": good_input,
     "length_filter": length_filter_query,
     "length_semi": length_semi,
     "union_by_name": union_by_name_query,

@@ -420,6 +420,10 @@ SELECT MODEL_CODE, MODEL_YEAR, count(*) AS total_rows, CAST(sum(CAST(va AS INTEG
        CAST(sum(CAST(vw AS INTEGER)) AS BIGINT) AS valid_2947_count,
        CAST(sum(CAST(va AND vw AS INTEGER)) AS BIGINT) AS all_valid_count
 FROM fl GROUP BY MODEL_CODE, MODEL_YEAR""",
+    "good_input": _base()
+    + "SELECT j.event_id, CASE WHEN coalesce(length(diag_a001) = r.a_ref, false) THEN 'x' ELSE '' END"
+    " AS goodDiagInput_A001, CASE WHEN coalesce(length(diag_2947) = r.w_ref, false) THEN 'x' ELSE '' END"
+    ' AS "goodDiagInput_2947" FROM joined j LEFT JOIN reflen r ON j.MODEL_CODE = r.family AND j.MODEL_YEAR = r.year',
     "length_filter": _base()
     + "SELECT j.event_id, j.MODEL_CODE FROM joined j LEFT JOIN reflen r ON j.MODEL_CODE = r.family"
     " AND j.MODEL_YEAR = r.year WHERE coalesce(length(diag_a001) = r.a_ref, false)"
