@@ -100,4 +100,26 @@ FROM parts p LEFT JOIN fits f USING (page_id)"""
 
 OP4 = _op4()
 
-ORACLE_SQL = {"op1_line_dedup": OP1, "op3_quality_rules": OP3, "op4_url_filter": OP4}
+def near_ctes(src: str, num: int = 85, den: int = 100) -> str:
+    """Recursive CTEs up to ``nd_out(doc_id, n_shingles, component_id)`` over ``src(doc_id, text)``."""
+    return f"""
+nd_docs AS (SELECT doc_id, {words(lower("text"))} AS ws FROM {src}),
+nd_sh AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') || ' '
+    ELSE array_to_string(list_slice(ws, i, i + 4), ' ') END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM nd_docs WHERE len(ws) > 0)),
+nd_n AS (SELECT doc_id, count(*) AS n FROM nd_sh GROUP BY doc_id),
+nd_common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM nd_sh x JOIN nd_sh y
+  ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+nd_edge AS (SELECT a, b FROM nd_common JOIN nd_n p ON a = p.doc_id JOIN nd_n q ON b = q.doc_id
+  WHERE {den} * c >= {num} * (p.n + q.n - c)),
+nd_reach(a, b) AS (SELECT doc_id, doc_id FROM nd_docs
+  UNION SELECT r.a, e.b FROM nd_reach r JOIN nd_edge e ON r.b = e.a),
+nd_out AS (SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id FROM nd_docs d
+  LEFT JOIN nd_n n USING (doc_id)
+  JOIN (SELECT a AS doc_id, min(b) AS component_id FROM nd_reach GROUP BY a) m USING (doc_id))"""
+
+
+OP5 = f"""WITH RECURSIVE {near_ctes("documents")}
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM nd_out"""
+
+ORACLE_SQL = {"op1_line_dedup": OP1, "op3_quality_rules": OP3, "op4_url_filter": OP4, "op5_minhash_dedup": OP5}

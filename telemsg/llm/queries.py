@@ -36,6 +36,12 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -43,4 +49,4 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality_rules, op4_url_filter, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality_rules, op4_url_filter, op5_minhash_dedup, op10_mix_sources)}
