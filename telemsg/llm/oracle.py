@@ -122,4 +122,16 @@ nd_out AS (SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_
 OP5 = f"""WITH RECURSIVE {near_ctes("documents")}
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM nd_out"""
 
-ORACLE_SQL = {"op1_line_dedup": OP1, "op3_quality_rules": OP3, "op4_url_filter": OP4, "op5_minhash_dedup": OP5}
+OP8 = """WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+g AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to FROM g"""
+
+ORACLE_SQL = {
+    "op8_warc_round_trip": OP8,
+    "op1_line_dedup": OP1,
+    "op3_quality_rules": OP3,
+    "op4_url_filter": OP4,
+    "op5_minhash_dedup": OP5,
+}

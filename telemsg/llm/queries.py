@@ -20,6 +20,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import secret_scan
+
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import quality_rules
 
@@ -42,6 +48,19 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+
+    out = round_trip(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import leaks
+
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix
 
@@ -49,4 +68,16 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_quality_rules, op4_url_filter, op5_minhash_dedup, op10_mix_sources)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_line_dedup,
+        op2_secret_scan,
+        op3_quality_rules,
+        op4_url_filter,
+        op5_minhash_dedup,
+        op8_warc_round_trip,
+        op9_decontaminate,
+        op10_mix_sources,
+    )
+}
