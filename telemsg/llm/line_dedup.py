@@ -56,7 +56,9 @@ def keep_bitmaps(
         F.sum(F.when(F.col("nth") == 1, 1).otherwise(0)).alias("n_docs"),
         *([F.min(F.struct("d", "t", "pos")).alias("origin")] if keep_first else []),
     )
-    hit = rows.join(per_line.where(F.col("n_docs") >= min_docs), ["h1", "h2"])
+    # written first, so that the join below is a plain one and a hot line's rows can be split
+    often = written(per_line.where(F.col("n_docs") >= min_docs), "frequent-lines")
+    hit = rows.join(often, ["h1", "h2"])
     if keep_first:
         hit = hit.where(~F.struct("d", "t", "pos").eqNullSafe(F.col("origin")))
     bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos").bitwiseAND(F.lit(63))))

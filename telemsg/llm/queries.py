@@ -48,6 +48,12 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import lm_score
+
+    return lm_score(table(spark, sf_dir, "documents"))
+
+
 def op8_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import round_trip
 
@@ -76,6 +82,7 @@ QUERIES = {
         op3_quality_rules,
         op4_url_filter,
         op5_minhash_dedup,
+        op7_lm_score,
         op8_warc_round_trip,
         op9_decontaminate,
         op10_mix_sources,
