@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemsg.llm.common import table, written
+from telemsg.llm.decontaminate import contaminated
 from telemsg.llm.line_dedup import line_dedup
+from telemsg.llm.minhash_dedup import near_duplicates
 from telemsg.llm.mixing import mix
 from telemsg.llm.quality_rules import quality_rules
 
@@ -28,6 +30,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (similarity 0.8 on five-word shingles): that with the smallest
+    id. Rows without an id stay."""
+    gone = near_duplicates(docs, num=80).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    leaky = written(contaminated(docs, table(spark, sf_dir, "benchmark")), "leaky-ids")
+    return docs.join(leaky, "doc_id", "left_anti").select(docs.columns)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: one row per document with the words it gives."""
     return mix(docs).select("doc_id", "size", "source", "source_size", "target", "taken")
@@ -36,6 +51,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality),
     ("line_dedup", lines),
+    ("minhash_near_dedup", near),
+    ("benchmark_decontamination", decontaminate),
     ("mix_sources", mixing),
 ]
 

@@ -48,6 +48,12 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import html_extract
+
+    return html_extract(table(spark, sf_dir, "pages"))
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_score import lm_score
 
@@ -82,6 +88,7 @@ QUERIES = {
         op3_quality_rules,
         op4_url_filter,
         op5_minhash_dedup,
+        op6_html_extract,
         op7_lm_score,
         op8_warc_round_trip,
         op9_decontaminate,
