@@ -121,8 +121,12 @@ class Markov:
     """Log-likelihood ratio of random strings against identifiers, per pair of characters."""
 
     def __init__(self, counts: np.ndarray):
-        c = counts.reshape(2, _K, _K)[:, :-1, :-1] + 1.0
-        p = np.log(c / c.sum(axis=2, keepdims=True))
+        c = counts.reshape(2, _K, _K)[:, :-1, :-1].astype(float)
+        single = c.sum(axis=1) + 1.0
+        single /= single.sum(axis=1, keepdims=True)
+        # pairs are smoothed towards single characters: after a rare one, the next is judged by itself
+        weight = 5.0
+        p = np.log((c + weight * single[:, None, :]) / (c.sum(axis=2, keepdims=True) + weight))
         self.ratio = p[1] - p[0]
 
     def score(self, token: str) -> float:
