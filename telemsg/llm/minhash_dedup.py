@@ -175,14 +175,14 @@ def near_duplicates(
     member = classes.select("rep", "sig", F.explode("bands").alias("band"))
     often = member.groupBy("band").count().where("count > 1").select("band")
     member = written(member.join(often, "band"), "buckets")
-    texts = d.where("doc_id is not null")
+    # the one shuffle of texts, by the same plan at every size; what is left are the texts of bucket members
+    wanted = written(member.select("rep").distinct(), "members").hint("merge")
+    texts = written(d.join(wanted, d["doc_id"] == wanted["rep"], "left_semi"), "member-texts")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         ids = written(pairs.select("a", "b").distinct(), f"{name}-pairs")
-        wanted = ids.select("a").union(ids.select("b")).distinct()
-        used = texts.join(wanted, texts["doc_id"] == wanted["a"], "left_semi")
-        with_a = ids.join(used.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        both = with_a.join(used.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        with_a = ids.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         links = both.select("a", "b", "text_a", "text_b").mapInArrow(_verifier(num, den), "a long, b long")
         return written(links.distinct(), f"{name}-links")
 
@@ -213,10 +213,14 @@ def near_duplicates(
         if left is not None and n > 0.7 * left:
             break
         left, rows = n, rest
-    x, y = rest.alias("x"), open_rows.select("band", "rep", "sig", "comp").alias("y")
+    keys = classes.select("rep", "bands")
+    x = written(rest.join(keys, "rep"), "rest-left").alias("x")
+    y = written(open_rows.select("band", "rep", "sig", "comp").join(keys, "rep"), "rest-right").alias("y")
+    shared = F.filter(F.col("x.bands"), lambda k: F.array_contains(F.col("y.bands"), k))
     pairs = x.join(y, F.col("x.band") == F.col("y.band")).where(
         (F.col("x.comp") != F.col("y.comp"))
         & (similarity(F.col("x.sig"), F.col("y.sig")) >= floor)
+        & (shared[0] == F.col("x.band"))  # a pair counts in the first bucket it shares
     )
     pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
     links = written(links.union(confirmed(pairs, "rest")), "links")
