@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shared_path, shuffle_width, text_or_empty
+from .common import shared_path, text_or_empty, written
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -199,16 +199,21 @@ def write_warc(
     html = text_or_empty(html_col)
     p = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), html.alias("html"),
-        F.when(F.octet_length(html) >= least, F.sha2(html, 256)).alias("digest"),
+        F.sha2(html, 256).alias("digest"),
     )
     groups = (
-        p.where("digest is not null").groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
+        p.where(F.octet_length("html") >= least)
+        .groupBy("digest")
+        .agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
+        .where("n > 1")
+        .select("digest", "first")
     )
-    placed = p.join(groups.where("n > 1").select("digest", "first"), "digest", "left").select(
-        "page_id", "url", "html", F.when(F.col("page_id").eqNullSafe(F.col("first")), None).otherwise(F.col("first")).alias("refers_to")
+    # the pages are shuffled once, by digest; the groups are a table, so that a hot digest's pages can be split
+    placed = p.join(written(groups, "warc-groups").hint("merge"), "digest", "left").select(
+        "page_id", "url", "html",
+        F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"),
     )
-    width = shuffle_width(pages.sparkSession)
-    dealt = placed.repartition(width, F.xxhash64("page_id", "url")).sortWithinPartitions("page_id", "url", "html")
+    dealt = placed.sortWithinPartitions("page_id", "url", "html")
     done = dealt.mapInArrow(_writer(folder, max_bytes), "archive string, records long")
     return done.agg(F.sum("records")).first()[0] or 0
 
