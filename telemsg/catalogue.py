@@ -105,7 +105,8 @@ def _pairs_hook(dups: list[str]):
     return hook
 
 
-def parse_catalogue(text: str) -> Catalogue:
+def parse_catalogue(text: str, stream_key: str = "telemetry") -> Catalogue:
+    """``stream_key`` names the telemetry stream's entry under ``input_data``."""
     dups: list[str] = []
     cfg = json.loads(text, object_pairs_hook=_pairs_hook(dups))
     if dups:
@@ -128,7 +129,7 @@ def parse_catalogue(text: str) -> Catalogue:
             MessageSpec(msg, spec["column_name"], spec.get("ecu", "BCM"), cols, lengths)
         )
     inp = cfg.get("input_data", {})
-    stream = inp.get("ada_datastream", {})
+    stream = inp.get(stream_key, {})
     return Catalogue(
         messages=tuple(messages),
         telemetry_path=stream.get("path"),
@@ -140,11 +141,11 @@ def parse_catalogue(text: str) -> Catalogue:
     )
 
 
-def load_catalogue(path: str | Path) -> Catalogue:
+def load_catalogue(path: str | Path, stream_key: str = "telemetry") -> Catalogue:
     """Read a catalogue JSON file; a relative conversions path is resolved
     against the catalogue's folder."""
     path = Path(path)
-    cat = parse_catalogue(path.read_text())
+    cat = parse_catalogue(path.read_text(), stream_key)
     if cat.conversions_path and not cat.conversions_path.startswith(("/", "file:", "s3", "hdfs", "abfs", "gs:", "dbfs:")):
         cat.conversions_path = str((path.parent / cat.conversions_path).resolve())
     return cat

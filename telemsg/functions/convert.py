@@ -45,61 +45,79 @@ def special_value(raw: Column, raw_max: Column) -> Column:
 
 
 def encoding_label(raw: Column, encodings: Column) -> Column:
-    """First encoding row (file order) whose single text equals ``$%02X`` of raw
-    or whose hex range holds raw."""
-    raw_hex = F.format_string("$%02X", raw)
-    hits = F.filter(
-        encodings,
-        lambda e: F.when(e["text"].isNotNull(), e["text"] == raw_hex).otherwise(
-            (e["lo"] <= raw) & (raw <= e["hi"])
-        ),
+    """Label of the first encoding (file order) whose range holds raw; single texts are ranges of one value."""
+    return F.get(F.filter(encodings, lambda e: (e["lo"] <= raw) & (raw <= e["hi"])), 0)["label"]
+
+
+VALUE = "struct<text:string,whole:bigint,num:double>"
+
+
+def value_of(text: Column | None = None, whole: Column | None = None, num: Column | None = None) -> Column:
+    """A decoded value: a label, a whole number or a rounded float; at most one is set. The number's text is made
+    only where text is asked for (``value_text``)."""
+    return F.struct(
+        (F.lit(None) if text is None else text).cast("string").alias("text"),
+        (F.lit(None) if whole is None else whole).cast("bigint").alias("whole"),
+        (F.lit(None) if num is None else num).cast("double").alias("num"),
     )
-    return F.get(hits, 0)["label"]
+
+
+def value_text(v: Column) -> Column:
+    """The value as the reference's JSON carries it."""
+    return F.coalesce(v["text"], v["whole"].cast("string"), python_float_text(v["num"]))
 
 
 def linear_value(raw: Column, lin: Column) -> Column:
     """Value of a linear field with a conversion row (``lin`` not null)."""
     x = raw.cast("double") * lin["factor"] + lin["offset"]
-    as_int = x.try_cast("bigint").cast("string")
-    return F.coalesce(
-        encoding_label(raw, lin["encodings"]),
+    label = F.coalesce(
+        F.when(F.size(lin["encodings"]) > 0, encoding_label(raw, lin["encodings"])),
         special_value(raw, lin["raw_max"]),
-        F.when(lin["decimals"] > 0, python_float_text(numpy_round(x, lin["decimals"])))
+    )
+    bad = (
+        F.when(lin["decimals"] > 0, F.lit(None).cast("string"))
         .when(F.isnan(x), F.lit("Conv Error: cannot convert float NaN to integer"))
         .when(F.abs(x) == float("inf"), F.lit("Error: cannot convert float infinity to integer"))
-        .otherwise(as_int),
+    )
+    return value_of(
+        F.coalesce(label, bad),
+        F.when(label.isNull() & (lin["decimals"] <= 0) & bad.isNull(), x.try_cast("bigint")),
+        F.when(label.isNull() & (lin["decimals"] > 0), numpy_round(x, lin["decimals"])),
     )
 
 
-def table_value(raw: Column, tmap: Column, name: Column) -> Column:
-    """Value of a table field whose table exists and whose id is an integer."""
-    short, padded = F.format_string("$%X", raw), F.format_string("$%02X", raw)
+def table_value(raw: Column, labels: Column, name: Column) -> Column:
+    """Text of a table field whose table exists and whose id is an integer. ``labels`` is keyed by the raw value."""
     fallback = F.format_string("0x%X (No match)", raw)
     for needle, yes, no in reversed(NAME_FALLBACKS):
         fallback = F.when(name.contains(needle), F.when(raw == 1, F.lit(yes)).otherwise(F.lit(no))).otherwise(
             fallback
         )
-    return (
-        F.when(F.map_contains_key(tmap, short), tmap[short])
-        .when(F.map_contains_key(tmap, padded), tmap[padded])
-        .otherwise(fallback)
-    )
+    return F.coalesce(labels[raw], fallback)
 
 
 def convert_field(f: Column, raw: Column, err: Column, has_linear: Column, has_table: Column) -> Column:
-    """struct<decoded_value: string, raw_value: bigint> for one field."""
+    """struct<value: VALUE, raw_value: bigint> for one field."""
     is_l = f["type"] == "L"
     is_t = f["type"] == "T"
     has_id = f["id"].isNotNull()
     bad_id = F.format_string(BAD_INT_ID, f["id"])
+    plain = value_of(whole=raw)
     value = (
-        F.when(err.isNotNull(), F.concat(F.lit("Error: "), err))
-        .when(is_l & has_id & has_linear & f["id_int"].isNull(), F.concat(F.lit("Conv Error: "), bad_id))
-        .when(is_l & has_id & has_linear & f["lin"].isNotNull(), linear_value(raw, f["lin"]))
-        .when(is_t & has_id & has_table & f["id_int"].isNull(), F.format_string("0x%X (Conv Error: %s)", raw, bad_id))
-        .when(is_t & has_id & has_table, table_value(raw, f["tmap"], f["name"]))
-        .when(is_t, F.format_string("0x%X", raw))
-        .otherwise(raw.cast("string"))
-    )
-    raw_value = F.when(err.isNull() & has_id & ((is_l & has_linear) | is_t), raw)
-    return F.struct(value.alias("decoded_value"), raw_value.alias("raw_value"))
+        F.when(err.isNotNull(), value_of(F.concat(F.lit("Error: "), err)))
+        .when(is_l, F.when(has_id & has_linear & f["id_int"].isNull(), value_of(F.concat(F.lit("Conv Error: "), bad_id)))
+              .when(has_id & has_linear & f["lin"].isNotNull(), linear_value(raw, f["lin"]))
+              .otherwise(plain))
+        .when(is_t, value_of(
+            F.when(has_id & has_table & f["id_int"].isNull(), F.format_string("0x%X (Conv Error: %s)", raw, bad_id))
+            .when(has_id & has_table, table_value(raw, f["labels"], f["name"]))
+            .otherwise(F.format_string("0x%X", raw))))
+        .otherwise(plain)
+    )
+    return F.struct(value.alias("value"), F.when(err.isNull() & has_id & ((is_l & has_linear) | is_t), raw).alias("raw"))
+
+
+def raw_value_of(f: Column, c: Column) -> Column:
+    """The raw value shown beside a decoded one: none for a table label that begins with ``Error``."""
+    hidden = (f["type"] == "T") & F.coalesce(c["value"]["text"].startswith("Error"), F.lit(False))
+    return F.when(~hidden, c["raw"])

@@ -15,7 +15,13 @@ Rules (byte ``b``, bit ``t``, ``n`` whole bytes, ``k`` extra bits):
   plus the low k bits of byte b-1 above them
 * neither: one byte at b, little-endian rule with bit offset t
 
-Values wider than 63 bits cannot be held in a bigint and give an error text.
+Values wider than 63 bits cannot be held in a bigint and give an error text for the field; the width is tested
+before any arithmetic, so no layout can fail a job.
+
+A codec stores for every field a *read plan* (``read_plan``): which text to cut (the message, or the message with
+its bytes reversed, where a little-endian value is a plain slice), where, the shift and the mask. A message of hex
+digits that is long enough is read by it: one slice, one conversion, one shift and one mask. Everything else
+takes the full rules below, which also word the errors.
 """
 
 from __future__ import annotations
@@ -94,7 +100,9 @@ def bits_in_byte(msg: Column, length: Column, all_hex: Column, b: Column, t: Col
 
 def whole_bytes_be(msg: Column, length: Column, all_hex: Column, b: Column, t: Column, n: Column) -> Column:
     text = hex_slice(msg, b, n)
-    raw = F.conv(text, 16, 10).try_cast("bigint")
+    digits = F.ltrim(text, F.lit("0"))
+    narrow = (F.length(digits) <= 15) | ((F.length(digits) == 16) & (F.substring(digits, 1, 1) < "8"))
+    raw = F.when(narrow, F.conv(F.concat(F.lit("0"), digits), 16, 10).cast("bigint"))
     err = (
         F.when(b * 2 + 2 > length, F.format_string(MSG_BYTE_MISSING, b))
         .when((t < 0) | (t > 7), F.format_string(MSG_BIT_POS, t))
@@ -172,3 +180,50 @@ def extract_field(msg: Column, length: Column, all_hex: Column, b: Column, t: Co
 def is_all_hex(msg: Column) -> Column:
     """True when every character of the message is a hex digit (checked once per row)."""
     return F.coalesce(msg.rlike("^[0-9A-Fa-f]*$"), F.lit(False))
+
+
+READ_PLAN = "struct<ok:boolean,need:int,le:boolean,at:int,count:int,shift:int,mask:bigint,back:int,back_mask:bigint,back_shift:int>"
+
+
+def read_plan(b: Column, t: Column, n: Column, k: Column) -> Column:
+    """How to read a field, from its position and size alone. ``ok`` is false where the position is an error by
+    itself or the value may need more than seven bytes; ``need`` is the number of bytes the message must have."""
+    bits = (n == 0) & (k > 0)
+    big = (n > 0) & (k == 0)
+    mixed = (n > 0) & (k > 0)
+    size = F.when(n > 0, n).otherwise(1)
+    offset_ok = (b >= 0) & (t >= 0) & (t <= 7)
+    small = (size <= 6) & (k <= 8)
+    none = F.lit(0).cast("bigint")
+    return F.when(
+        b.isNotNull() & t.isNotNull() & n.isNotNull() & k.isNotNull(),
+        F.struct(
+            (offset_ok & small & F.when(bits, t + k <= 8).when(mixed, b > 0).when(big, F.lit(True)).otherwise((n == 0) & (k == 0))).alias("ok"),
+            (b + F.when(bits | big, 1).otherwise(size)).alias("need"),
+            (~bits & ~big).alias("le"),
+            b.alias("at"),
+            F.when(bits, 1).when(big, n).otherwise(size + F.when(t > 0, 1).otherwise(0)).alias("count"),
+            F.when(big, 0).otherwise(t).alias("shift"),
+            F.when(bits, mask(F.least(k, F.lit(8)))).when(big, F.lit(-1).cast("bigint")).otherwise(mask(F.least(size, F.lit(6)) * 8)).alias("mask"),
+            F.when(mixed, b - 1).otherwise(-1).alias("back"),
+            F.when(mixed, mask(F.least(k, F.lit(8)))).otherwise(none).alias("back_mask"),
+            F.when(mixed, F.least(size, F.lit(6)) * 8).otherwise(0).alias("back_shift"),
+        ).cast(READ_PLAN),
+    )
+
+
+def reversed_bytes(msg: Column) -> Column:
+    """The message with its bytes in reverse order (an odd last digit is left out)."""
+    return F.regexp_replace(F.reverse(msg.substr(F.lit(1), F.shiftright(F.length(msg), 1) * 2)), "(.)(.)", "$2$1")
+
+
+def fast_raw(msg: Column, rev: Column, n_bytes: Column, plan: Column) -> Column:
+    """Raw value by the read plan, for a message of hex digits with at least ``plan.need`` bytes."""
+    end = n_bytes - plan["at"]
+    start = F.greatest(end - plan["count"], F.lit(0))
+    text = F.when(plan["le"], rev.substr(start * 2 + 1, (end - start) * 2)).otherwise(
+        msg.substr(plan["at"] * 2 + 1, plan["count"] * 2)
+    )
+    value = shr(F.conv(text, 16, 10).cast("bigint"), plan["shift"]).bitwiseAND(plan["mask"])
+    back = shl(byte_at(msg, plan["back"]).bitwiseAND(plan["back_mask"]), plan["back_shift"])
+    return F.when(plan["back"] < 0, value).otherwise(value.bitwiseOR(back))

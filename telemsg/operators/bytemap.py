@@ -27,10 +27,14 @@ def field_map(df: DataFrame, row_id: str, msg_col: str, decoded_col: str) -> Dat
     """(row_id, field_index, description, raw_position, size, first_byte, last_byte,
     covered_hex, covered_binary, decoded_value, raw_value)."""
     x = df.select(row_id, msg_col, F.posexplode(decoded_col).alias("field_index", "f"))
-    b, _, _ = parse_position(F.col("f.raw_position"), "0 [0]")
+    b, t, _ = parse_position(F.col("f.raw_position"), "0 [0]")
     n, k, _ = parse_position(F.col("f.size"), "1 [0]")
-    first = F.when((n > 0) & (k > 0), b - 1).otherwise(b)
+    mixed, plain = (n > 0) & (k > 0), (n == 0) & (k == 0)
+    n_bytes = F.shiftright(F.length(msg_col), 1)
+    # the bits below byte 0 do not exist; a little-endian read with a bit offset also takes the next byte, if any
+    first = F.when(mixed, F.greatest(b - 1, F.lit(0))).otherwise(b)
     last = F.when(n > 0, b + n - 1).otherwise(b)
+    last = F.when((mixed | plain) & (t > 0) & (last + 1 < n_bytes), last + 1).otherwise(last)
     covered = F.col(msg_col).substr(first * 2 + 1, (last - first + 1) * 2)
     return x.select(
         row_id,

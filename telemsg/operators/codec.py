@@ -1,16 +1,18 @@
 """Codec dimension (D0, D1): one row per (family, year, msg) holding the ordered
 array of fields to decode, with the linear and table conversion rules of every
-field already resolved. It is built once per run by Spark from the layout and
-conversion files and joined to the telemetry by key, so decoding needs no
-per-row lookup and no Python.
+field already resolved. Spark builds it from the layout and conversion files; ``plans.batch.write_dimension`` keeps
+it as a table, which a decode joins by key, so decoding needs no per-row lookup and no Python.
 
 Field struct:
   ord, description, raw_position, size, type, name, id      layout entry
   b, t, n, k                                                 byte, bit, bytes, bits
   id_int                                                     id as integer (null if not one)
+  plan  how to read the field's bits (functions/hexbits.read_plan)
   lin   struct<factor, offset, decimals, raw_max, encodings> first linear row of the id
         (null when the table has no row for the id)
-  tmap  map<min text, label>                                 table rows of the id
+  labels map<raw value, label>                               table rows of the id
+
+Conversion rows belong to their file, so their key is (family, year, ecu, id).
 
 Only the last entry of a repeated description is kept (later entries overwrite
 earlier ones in the decoded result); fields keep the position of their first entry.
@@ -21,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telemsg.functions.hexbits import read_plan
 from telemsg.sources.conversions import na_to_null
 
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
@@ -48,7 +51,8 @@ def _hex_value(text: Column) -> Column:
 
 
 def linear_rules(linear: DataFrame) -> DataFrame:
-    """(family, year, id_int, lin) from the linear rows; first row by file order is the base."""
+    """(family, year, ecu, id_int, lin) from the linear rows; first row by file order is the base. An encoding
+    with one text matches a raw value only where the text is that value's ``$%02X``."""
     raw_min = F.trim(na_to_null("Raw Min"))
     raw_max = F.trim(na_to_null("Raw Max"))
     label = na_to_null("Encoding Name")
@@ -60,19 +64,16 @@ def linear_rules(linear: DataFrame) -> DataFrame:
     )
     single = raw_min.isNotNull() & (raw_min == raw_max)
     rng = (F.coalesce(raw_min, F.lit("")) != "") & (F.coalesce(raw_max, F.lit("")) != "") & (raw_min != raw_max)
+    lo, hi = _hex_value(raw_min), _hex_value(raw_max)
+    exact = F.coalesce(single & (F.format_string("$%02X", lo) == raw_min), F.lit(False))
     enc = F.when(
-        label.isNotNull() & (single | (rng & _hex_value(raw_min).isNotNull() & _hex_value(raw_max).isNotNull())),
-        F.struct(
-            F.col("ord"),
-            F.when(single, raw_min).alias("text"),
-            F.when(~single, _hex_value(raw_min)).alias("lo"),
-            F.when(~single, _hex_value(raw_max)).alias("hi"),
-            label.alias("label"),
-        ),
+        label.isNotNull() & (exact | (rng & lo.isNotNull() & hi.isNotNull())),
+        F.struct(F.col("ord"), lo.alias("lo"), hi.alias("hi"), label.alias("label")),
     )
     rows = linear.select(
         "family",
         "year",
+        "ecu",
         F.col("ID").try_cast("bigint").alias("id_int"),
         F.struct(
             F.col("ord"),
@@ -84,13 +85,14 @@ def linear_rules(linear: DataFrame) -> DataFrame:
         ).alias("row"),
         enc.alias("enc"),
     ).filter(F.col("id_int").isNotNull())
-    grouped = rows.groupBy("family", "year", "id_int").agg(
+    grouped = rows.groupBy("family", "year", "ecu", "id_int").agg(
         F.min_by("row", F.col("row.ord")).alias("base"),
         F.array_sort(F.collect_list("enc")).alias("encodings"),
     )
     return grouped.select(
         "family",
         "year",
+        "ecu",
         "id_int",
         F.struct(
             F.col("base.factor").alias("factor"),
@@ -104,20 +106,23 @@ def linear_rules(linear: DataFrame) -> DataFrame:
 
 
 def table_rules(table: DataFrame) -> DataFrame:
-    """(family, year, id_int, tmap): trimmed ``Min`` text -> label, first row wins."""
+    """(family, year, ecu, id_int, labels): raw value -> label. A row's trimmed ``Min`` text stands for the value
+    whose ``$%X`` it is, or else whose ``$%02X``; of equal texts the first row wins. Other texts match nothing."""
+    text = F.trim(na_to_null("Min"))
+    value = F.when(text.rlike(r"^\$[0-9A-F]{1,15}$"), F.conv(F.substr(text, F.lit(2)), 16, 10).cast("bigint"))
+    rank = F.when(text == F.format_string("$%X", value), 0).when(text == F.format_string("$%02X", value), 1)
     rows = table.select(
         "family",
         "year",
+        "ecu",
         F.col("ID").try_cast("bigint").alias("id_int"),
-        F.trim(na_to_null("Min")).alias("min_text"),
-        na_to_null("Encoding Name").alias("label"),
-        "ord",
-    ).filter(F.col("id_int").isNotNull() & F.col("min_text").isNotNull())
-    first = rows.groupBy("family", "year", "id_int", "min_text").agg(
-        F.min_by(F.coalesce("label", F.lit("NaN")), "ord").alias("label")
-    )
-    return first.groupBy("family", "year", "id_int").agg(
-        F.map_from_entries(F.collect_list(F.struct("min_text", "label"))).alias("tmap")
+        value.alias("raw"),
+        F.struct(rank.alias("rank"), "ord").alias("order"),
+        F.coalesce(na_to_null("Encoding Name"), F.lit("NaN")).alias("label"),
+    ).filter(F.col("id_int").isNotNull() & F.col("order.rank").isNotNull())
+    first = rows.groupBy("family", "year", "ecu", "id_int", "raw").agg(F.min_by("label", "order").alias("label"))
+    return first.groupBy("family", "year", "ecu", "id_int").agg(
+        F.map_from_entries(F.collect_list(F.struct("raw", "label"))).alias("labels")
     )
 
 
@@ -135,8 +140,7 @@ def build_codec(
     needs; the result is the same for those fields, only cheaper to decode.
     """
     if family_years is not None:
-        # configuration-sized (one row per configured family and year)
-        fy = F.broadcast(family_years.select("family", "year").distinct())
+        fy = family_years.select("family", "year").distinct()
         layouts = layouts.join(fy, ["family", "year"], "left_semi")
         linear = linear.join(fy, ["family", "year"], "left_semi")
         table = table.join(fy, ["family", "year"], "left_semi")
@@ -145,7 +149,7 @@ def build_codec(
     n, k, ok2 = parse_position(F.col("size"), "1 [0]")
     desc = F.coalesce(F.col("description"), F.lit("Unknown"))
     entries = layouts.select(
-        "family", "year", "msg", "layout_name", "ord",
+        "family", "year", "ecu", "msg", "layout_name", "ord",
         desc.alias("description"),
         F.coalesce("byte", F.lit("0 [0]")).alias("raw_position"),
         F.coalesce("size", F.lit("1 [0]")).alias("size"),
@@ -157,26 +161,28 @@ def build_codec(
         F.when(F.col("id").rlike(INT_TEXT), F.trim("id").try_cast("bigint")).alias("id_int"),
     )
     key = ["family", "year", "msg"]
-    lin = F.broadcast(linear_rules(linear))  # conversion-file sized
-    tab = F.broadcast(table_rules(table))  # conversion-file sized
-    has_lin = F.broadcast(linear.select("family", "year").distinct().withColumn("has_linear", F.lit(True)))
-    has_tab = F.broadcast(table.select("family", "year").distinct().withColumn("has_table", F.lit(True)))
+    file_key = ["family", "year", "ecu"]
+    lin, tab = linear_rules(linear), table_rules(table)  # the planner sizes these joins
+    has_lin = linear.select(*file_key).distinct().withColumn("has_linear", F.lit(True))
+    has_tab = table.select(*file_key).distinct().withColumn("has_table", F.lit(True))
 
     field = F.struct(
         F.col("ord"), "description", "raw_position", "size", "type", "name", "id",
-        "b", "t", "n", "k", "id_int",
+        "b", "t", "n", "k", "id_int", "plan",
         F.when(F.col("type") == "L", F.col("lin")).alias("lin"),
-        F.when(F.col("type") == "T", F.coalesce("tmap", F.create_map().cast("map<string,string>"))).alias("tmap"),
+        F.when(F.col("type") == "T", F.coalesce("labels", F.create_map().cast("map<bigint,string>"))).alias("labels"),
     )
     per_msg = (
-        entries.join(lin, ["family", "year", "id_int"], "left")
-        .join(tab, ["family", "year", "id_int"], "left")
+        entries.withColumn("plan", read_plan(F.col("b"), F.col("t"), F.col("n"), F.col("k")))
+        .join(lin, [*file_key, "id_int"], "left")
+        .join(tab, [*file_key, "id_int"], "left")
         .groupBy(*key)
         .agg(
             F.collect_list(field).alias("all_fields"),
             # a position that cannot be parsed fails the whole message, as in the reference
             F.bool_or(~F.col("pos_ok")).alias("broken"),
             F.first("layout_name").alias("layout_name"),
+            F.first("ecu").alias("ecu"),
         )
     )
     # last entry of each description wins; it keeps the place of the first entry
@@ -198,12 +204,12 @@ def build_codec(
     out = per_msg.withColumn("fields", sort_by_ord(placed)).drop("all_fields")
     if descriptions is not None:
         wanted = descriptions.groupBy("msg").agg(F.collect_set("description").alias("_wanted"))
-        out = out.join(F.broadcast(wanted), "msg", "left").withColumn(
+        out = out.join(wanted, "msg", "left").withColumn(
             "fields", F.filter("fields", lambda f: F.array_contains(F.coalesce("_wanted", F.array().cast("array<string>")), f["description"]))
         ).drop("_wanted")
     return (
-        out.join(has_lin, ["family", "year"], "left")
-        .join(has_tab, ["family", "year"], "left")
+        out.join(has_lin, file_key, "left")
+        .join(has_tab, file_key, "left")
         .select(
             *key,
             "layout_name",
@@ -235,13 +241,10 @@ def load_codec(spark, root: str, catalogue=None, declared_only: bool = False) ->
     if catalogue is not None:
         fy = spark.createDataFrame(catalogue.family_years(), "family string, year int")
         ecus = spark.createDataFrame([(m.msg, m.ecu) for m in catalogue.messages], "msg string, ecu string")
-        layouts = layouts.join(F.broadcast(ecus), ["msg", "ecu"], "left_semi")
+        layouts = layouts.join(ecus, ["msg", "ecu"], "left_semi")
         if declared_only:
             descs = catalogue.output_columns_df(spark).select("msg", "description")
-    codec = build_codec(layouts, read_linear(spark, root), read_table(spark, root), fy, descs)
-    # The codec is configuration-sized and read by several joins of one run:
-    # keep it after its first use instead of re-reading the files each time.
-    return codec.persist()
+    return build_codec(layouts, read_linear(spark, root), read_table(spark, root), fy, descs)
 
 
 def align_codec(codec: DataFrame, catalogue) -> DataFrame:

@@ -1,8 +1,8 @@
 """Message decode (D2-D13) as native Spark expressions.
 
 ``decode_fields`` maps a message and its codec row to an array of decoded field
-structs with two ``F.transform`` passes (extract, then convert), so each field's
-raw value is computed once. No explode, no shuffle, no Python: the per-row work
+structs with three ``F.transform`` passes (extract, convert, shape), so each
+field's raw value and conversion are computed once. No explode, no shuffle, no Python: the per-row work
 stays in the JVM, and the codec arrives by a broadcast join.
 """
 
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemsg.functions.convert import convert_field
-from telemsg.functions.hexbits import extract_field, is_all_hex
+from telemsg.functions.convert import convert_field, raw_value_of, value_text
+from telemsg.functions.hexbits import extract_field, fast_raw, is_all_hex, reversed_bytes
 
 DECODED_FIELD = (
     "struct<description:string,decoded_value:string,raw_position:string,size:string,"
@@ -25,47 +25,55 @@ def decode_fields(
     codec: Column,
     length: Column | None = None,
     all_hex: Column | None = None,
+    rev: Column | None = None,
     slim: bool = False,
 ) -> Column:
     """array<DECODED_FIELD> in codec field order, or null when the message is
     null or the codec is missing or broken. Null codec fields (declared but
-    absent from the layout) give null elements. With ``slim`` the elements hold
-    only ``decoded_value`` and ``raw_value`` (enough for typed columns)."""
+    absent from the layout) give null elements. With ``slim`` the elements are
+    the values alone (label, whole number or float), enough for typed columns."""
     length = F.length(msg) if length is None else length
     all_hex = is_all_hex(msg) if all_hex is None else all_hex
+    rev = reversed_bytes(msg) if rev is None else rev
+    n_bytes = F.shiftright(length, 1)
     has_linear, has_table = codec["has_linear"], codec["has_table"]
-    fields = codec["fields"]
 
     # pass 1: raw value or error per field, carried next to its field. (An
     # outer array referenced inside a lambda is re-evaluated per element, so the
     # result travels inside the array instead.)
-    extracted = F.transform(
-        fields,
-        lambda f: F.when(
-            f.isNotNull(),
-            F.struct(f.alias("f"), extract_field(msg, length, all_hex, f["b"], f["t"], f["n"], f["k"]).alias("x")),
-        ),
-    )
+    def extract(f: Column) -> Column:
+        quick = all_hex & f["plan"]["ok"] & (f["plan"]["need"] <= n_bytes)
+        found = F.when(
+            quick,
+            F.struct(
+                fast_raw(msg, rev, n_bytes, f["plan"]).alias("raw"), F.lit(None).cast("string").alias("err")
+            ),
+        ).otherwise(extract_field(msg, length, all_hex, f["b"], f["t"], f["n"], f["k"]))
+        return F.when(f.isNotNull(), F.struct(f.alias("f"), found.alias("x")))
 
-    # pass 2: conversion of each raw value
+    # pass 2: conversion of each raw value, once
     def convert(y: Column) -> Column:
-        f, x = y["f"], y["x"]
-        c = convert_field(f, x["raw"], x["err"], has_linear, has_table)
+        c = convert_field(y["f"], y["x"]["raw"], y["x"]["err"], has_linear, has_table)
+        return F.when(y.isNotNull(), F.struct(y["f"].alias("f"), c.alias("c")))
+
+    # pass 3: the shape asked for
+    def shape(z: Column) -> Column:
+        f, c = z["f"], z["c"]
         if slim:
-            out = F.struct(c["decoded_value"].alias("decoded_value"), c["raw_value"].alias("raw_value"))
+            out = c["value"]
         else:
             out = F.struct(
                 f["description"].alias("description"),
-                c["decoded_value"].alias("decoded_value"),
+                value_text(c["value"]).alias("decoded_value"),
                 f["raw_position"].alias("raw_position"),
                 f["size"].alias("size"),
                 f["type"].alias("msg_type"),
                 f["id"].alias("msg_id"),
-                c["raw_value"].alias("raw_value"),
+                raw_value_of(f, c).alias("raw_value"),
             )
-        return F.when(y.isNotNull(), out)
+        return F.when(z.isNotNull(), out)
 
-    decoded = F.transform(extracted, convert)
+    decoded = F.transform(F.transform(F.transform(codec["fields"], extract), convert), shape)
     return F.when(msg.isNotNull() & codec.isNotNull() & ~F.coalesce(codec["broken"], F.lit(False)), decoded)
 
 
@@ -79,17 +87,16 @@ def decode(
 ) -> DataFrame:
     """Add ``out_col`` = decoded fields of ``msg_col`` using the codec struct in
     ``codec_col``; with ``valid_col`` only valid messages are decoded (D13).
-    Message length and hex check are computed once per row, outside the field loop."""
-    ln, hx = f"__{out_col}_len", f"__{out_col}_hex"
+    Message length, hex check and reversed text are computed once per row."""
+    ln, hx, rv = (f"__{out_col}_{x}" for x in ("len", "hex", "rev"))
     msg = F.col(msg_col)
-    out = decode_fields(msg, F.col(codec_col), F.col(ln), F.col(hx), slim=slim)
+    out = decode_fields(msg, F.col(codec_col), F.col(ln), F.col(hx), F.col(rv), slim=slim)
     if valid_col is not None:
         out = F.when(F.col(valid_col), out)
     return (
-        df.withColumn(ln, F.length(msg))
-        .withColumn(hx, is_all_hex(msg))
+        df.withColumns({ln: F.length(msg), hx: is_all_hex(msg), rv: reversed_bytes(msg)})
         .withColumn(out_col, out)
-        .drop(ln, hx)
+        .drop(ln, hx, rv)
     )
 
 

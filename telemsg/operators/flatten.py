@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemsg.catalogue import TYPE_NAMES, MessageSpec
+from telemsg.functions.convert import value_text
 
 DECODED_VALUES_SCHEMA = T.StructType(
     [T.StructField("decoded_values", T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))]
@@ -25,22 +26,35 @@ def field_value(decoded: Column, description: str) -> Column:
     return F.get(F.filter(decoded, lambda x: x["description"] == F.lit(description)), 0)["decoded_value"]
 
 
-def typed_columns(decoded_col: str, spec: MessageSpec, aligned: bool = True) -> list[Column]:
+def typed_columns(decoded_col: str, spec: MessageSpec, aligned: bool = True, slim: bool = False) -> list[Column]:
     """One ``{msg}_{clean_name}`` column per declared field.
     With ``aligned`` the decoded array holds the declared fields in declared
     order (codec built with ``declared_only``), so column j is element j."""
     cols = []
     for j, c in enumerate(spec.columns):
-        if aligned:
-            v = F.get(F.col(decoded_col), j)["decoded_value"]
+        if slim:
+            v = typed_value(F.get(F.col(decoded_col), j), c.spark_type)
+        elif aligned:
+            v = F.get(F.col(decoded_col), j)["decoded_value"].try_cast(c.spark_type)
         else:
-            v = field_value(F.col(decoded_col), c.description)
-        cols.append(v.try_cast(c.spark_type).alias(f"{spec.msg}_{c.clean_name}"))
+            v = field_value(F.col(decoded_col), c.description).try_cast(c.spark_type)
+        cols.append(v.alias(f"{spec.msg}_{c.clean_name}"))
     return cols
 
 
-def flatten(df: DataFrame, specs: list[MessageSpec], decoded_suffix: str = "_decoded", aligned: bool = True) -> DataFrame:
-    extra = [c for s in specs for c in typed_columns(f"{s.msg}{decoded_suffix}", s, aligned)]
+def typed_value(v: Column, spark_type: T.DataType) -> Column:
+    """A value struct as the declared type; numbers do not pass through text, but where a float goes to another type."""
+    if isinstance(spark_type, (T.FloatType, T.DoubleType)):
+        return F.coalesce(v["num"].cast(spark_type), v["whole"].cast(spark_type), v["text"].try_cast(spark_type))
+    if isinstance(spark_type, T.IntegralType):
+        return F.coalesce(v["whole"].try_cast(spark_type), value_text(v).try_cast(spark_type))
+    return value_text(v).try_cast(spark_type)
+
+
+def flatten(
+    df: DataFrame, specs: list[MessageSpec], decoded_suffix: str = "_decoded", aligned: bool = True, slim: bool = False
+) -> DataFrame:
+    extra = [c for s in specs for c in typed_columns(f"{s.msg}{decoded_suffix}", s, aligned, slim)]
     return df.select("*", *extra)
 
 
@@ -102,10 +116,10 @@ def bulk_cast(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def add_dt_if_missing(df: DataFrame, ts_col: str = "app_timestamp", fmt: str | None = None) -> DataFrame:
-    """F16: add ``dt`` = date of the timestamp when the column is missing."""
+    """F16: add ``dt`` = date of the timestamp when the column is missing; text that is no date gives null."""
     if "dt" in df.columns:
         return df
     c = F.col(ts_col)
     if fmt is not None:
-        return df.withColumn("dt", F.try_to_date(c.cast("string"), fmt) if hasattr(F, "try_to_date") else F.to_date(c, fmt))
-    return df.withColumn("dt", F.to_date(c))
+        return df.withColumn("dt", F.try_to_timestamp(c.cast("string"), F.lit(fmt)).cast("date"))
+    return df.withColumn("dt", c.try_cast("date"))

@@ -6,14 +6,14 @@ columns. A plain ``Window.partitionBy(key)`` puts every row of a key in one task
 and one vehicle may hold a large share of all rows. So the fill is done as a
 two-level scan:
 
-1. rows are partitioned by (key, bucket), where the bucket is a prefix of the
-   order (e.g. the day of the timestamp), and filled inside each bucket;
-2. the last non-null value of each (key, bucket) is carried to the later
-   buckets of the same key by a window over the small per-bucket summary;
-3. the carry is joined back on (key, bucket), which is how the big side is
-   already partitioned, so the big side is shuffled once.
+1. a narrow scan (key, order and filled columns) sums up each (key, bucket), where the bucket is a prefix of the
+   order (e.g. the day of the timestamp), by a map-side aggregation: the last non-null value of every column;
+2. a window over that small summary carries each value to the later buckets of the key;
+3. the rows get their bucket's carry by a join on (key, bucket), null-safe, and are filled inside the bucket by a
+   window that reuses the join's partitioning - so the wide side is shuffled once.
 
-The result equals the single-window fill for any data.
+The result equals the single-window fill for order columns of text, date, timestamp or number, null keys included,
+as long as the bucket does not decrease along the order; rows with a null order come first, in a bucket of their own.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ def default_bucket(df: DataFrame, order_col: str) -> Column:
     if isinstance(dt, T.StringType):
         return F.substring(c, 1, 10)
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.to_date(c).cast("string")
-    return F.floor(c.cast("double") / 86400.0).cast("string")
+        return F.to_date(c)
+    return F.floor(c / F.lit(86400)).cast("bigint")  # a number, so that its order is the column's
 
 
 def forward_fill(
@@ -50,21 +50,22 @@ def forward_fill(
         return df
     bkt = default_bucket(df, order[0]) if bucket is None else bucket
     base = df.withColumn("_bucket", bkt)
-    within = Window.partitionBy(key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = base.withColumns({f"_lf_{c}": F.last(c, ignorenulls=True).over(within) for c in columns})
-
-    # last non-null value of each (key, bucket): the local fill at the bucket's last row
-    last_key = F.struct(*[F.col(o) for o in order])
-    summary = local.groupBy(key, "_bucket").agg(
-        *[F.max_by(F.col(f"_lf_{c}"), F.when(F.col(f"_lf_{c}").isNotNull(), last_key)).alias(f"_bl_{c}") for c in columns]
+    row_order = F.struct(*[F.col(o) for o in order])
+    narrow = base.select(*dict.fromkeys([key, "_bucket", *order, *columns]))
+    summary = narrow.groupBy(key, "_bucket").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), row_order)).alias(f"_bl_{c}") for c in columns]
     )
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        key, "_bucket", *[F.last(f"_bl_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns]
+        F.col(key).alias("_ckey"), F.col("_bucket").alias("_cbucket"),
+        *[F.last(f"_bl_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns],
+    )
+    same = base[key].eqNullSafe(carry["_ckey"]) & base["_bucket"].eqNullSafe(carry["_cbucket"])
+    within = Window.partitionBy(key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = base.join(carry, same, "left").withColumns(
+        {f"{c}{suffix}": F.coalesce(F.last(c, ignorenulls=True).over(within), F.col(f"_carry_{c}")) for c in columns}
     )
-    out = local.join(carry, [key, "_bucket"], "left")
-    out = out.withColumns({f"{c}{suffix}": F.coalesce(F.col(f"_lf_{c}"), F.col(f"_carry_{c}")) for c in columns})
-    return out.drop("_bucket", *[f"_lf_{c}" for c in columns], *[f"_carry_{c}" for c in columns])
+    return out.drop("_bucket", "_ckey", "_cbucket", *[f"_carry_{c}" for c in columns])
 
 
 def forward_fill_window(df: DataFrame, columns: list[str], key: str = "vin", order: list[str] | str = "app_timestamp",

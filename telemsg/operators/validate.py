@@ -8,6 +8,7 @@ checked with one broadcast join instead of a per-row lookup.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -139,7 +140,7 @@ def length_semi_filter(
     family_col: str = "MODEL_CODE", year_col: str = "MODEL_YEAR",
 ) -> DataFrame:
     """J4 (F5 re-aimed): rows whose message has a configured (family, year, length)."""
-    dim = F.broadcast(lengths).filter(F.col("msg") == msg).select(
+    dim = lengths.filter(F.col("msg") == msg).select(
         F.col("family").alias("_fam"), F.col("year").alias("_yr"), F.col("length").alias("_len")
     )
     cond = (
@@ -150,16 +151,35 @@ def length_semi_filter(
     return df.join(checked_broadcast(dim), cond, "left_semi")
 
 
-def codec_coverage(keys: DataFrame, codec: DataFrame) -> DataFrame:
-    """Distinct (family, year, msg) of the data with a flag per part:
-    has_layout, has_linear, has_table (codec rows are per (family, year, msg))."""
-    k = keys.select("family", "year", "msg").distinct()
-    c = codec.select("family", "year", "msg", F.lit(True).alias("has_layout"), "has_linear", "has_table")
-    parts = codec.select("family", "year", "has_linear", "has_table").distinct()
-    out = k.join(checked_broadcast(c), ["family", "year", "msg"], "left")
-    return out.select(
-        "family", "year", "msg",
-        F.coalesce("has_layout", F.lit(False)).alias("has_layout"),
-        F.coalesce(out["has_linear"], F.lit(False)).alias("has_linear"),
-        F.coalesce(out["has_table"], F.lit(False)).alias("has_table"),
-    )
+def codec_coverage(keys: DataFrame, codec: DataFrame, linear_keys: DataFrame, table_keys: DataFrame) -> DataFrame:
+    """Distinct (family, year, msg) of the data with a flag per part: has_layout, has_linear, has_table.
+    ``linear_keys`` and ``table_keys`` are the (family, year) that have a conversion file, layout or not."""
+    out = keys.select("family", "year", "msg").distinct()
+    for flag, part, on in (
+        ("has_layout", codec.select("family", "year", "msg"), ["family", "year", "msg"]),
+        ("has_linear", linear_keys.select("family", "year"), ["family", "year"]),
+        ("has_table", table_keys.select("family", "year"), ["family", "year"]),
+    ):
+        have = checked_broadcast(part.distinct().withColumn(flag, F.lit(True)))
+        out = out.join(have, on, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return out.select("family", "year", "msg", "has_layout", "has_linear", "has_table")
+
+
+def prepare_family(
+    df: DataFrame,
+    family: str,
+    year: int,
+    lengths: DataFrame,
+    alerts: list[str],
+    message_columns: dict[str, str],
+    family_col: str = "MODEL_CODE",
+    year_col: str = "MODEL_YEAR",
+) -> DataFrame:
+    """rows of one family that pass F8. A family or year without configured lengths is returned unfiltered by
+    length, with a warning. (The configuration is looked up, not the data.)"""
+    one = df.filter(F.col(family_col) == family) if family_col in df.columns else df
+    known = lengths.filter((F.col("family") == family) & (F.col("year") == year)).limit(1).count() > 0
+    if not known:
+        warnings.warn(f"no lengths configured for family {family!r}, year {year!r}: rows are not filtered by length")
+        return one
+    return length_filter(one, lengths, alerts, message_columns, True, family_col, year_col)

@@ -2,13 +2,14 @@
 
 ``decode_pipeline`` (B7) is one lazy plan:
 
-    scan (columns + dt filter pushed down) -> join vehicles -> forward fill
-    -> broadcast join of the family dimension (lengths + codecs of all messages)
+    scan (columns + dt filter pushed down) -> forward fill -> join vehicles
+    -> join of the family dimension (lengths + codecs of all messages)
     -> validity -> filter -> decode (native expressions) -> typed columns
 
-The only exchanges are the vehicle join (when the master is too large to
-broadcast) and the fill's partitioning by (vin, day). The family dimension has
-one row per (family, year) and is broadcast after a size check.
+The only exchanges are the fill's partitioning by (vin, day) and the vehicle join
+(when the master is too large to broadcast). The family dimension has one row per
+(family, year); ``write_dimension`` builds it once as a table, so a decode's plan
+holds a scan of that table and building the plan runs no job.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def family_dimension(catalogue: Catalogue, codec: DataFrame, spark=None) -> Data
     """One row per (family, year): {m}_reference_len and {m}_codec for every message."""
     spark = spark or codec.sparkSession
     msgs = catalogue.message_codes
-    lengths = F.broadcast(catalogue.lengths_df(spark)).groupBy("family", "year").agg(
+    lengths = catalogue.lengths_df(spark).groupBy("family", "year").agg(
         *[F.max(F.when(F.col("msg") == m, F.col("length"))).alias(f"{m}_reference_len") for m in msgs]
     )
     codecs = codec.groupBy("family", "year").agg(
@@ -44,6 +45,20 @@ def family_dimension(catalogue: Catalogue, codec: DataFrame, spark=None) -> Data
     return lengths.join(codecs, ["family", "year"], "full_outer")
 
 
+def write_dimension(catalogue: Catalogue, codec: DataFrame, path: str) -> DataFrame:
+    """Write the family dimension as one table and read it back: the conversion files are read and resolved once,
+    and later plans hold neither their lineage nor a job."""
+    family_dimension(catalogue, codec).coalesce(1).write.mode("overwrite").parquet(path)
+    return codec.sparkSession.read.parquet(path)
+
+
+def codec_of(dimension: DataFrame, message_codes: list[str]) -> DataFrame:
+    """Codec rows (family, year, msg, ...) of a written dimension."""
+    items = F.array(*[F.struct(F.lit(m).alias("msg"), F.col(f"{m}_codec").alias("c")) for m in message_codes])
+    rows = dimension.select("family", "year", F.explode(items).alias("x")).where("x.c is not null")
+    return rows.select("family", "year", "x.msg", *[F.col(f"x.c.{c}").alias(c) for c in CODEC_FIELDS])
+
+
 def attach_family_dimension(df: DataFrame, dim: DataFrame, family_col: str = "MODEL_CODE",
                             year_col: str = "MODEL_YEAR") -> DataFrame:
     d = checked_broadcast(dim.withColumnRenamed("family", "_fam").withColumnRenamed("year", "_yr"))
@@ -57,12 +72,12 @@ def decode_messages(df: DataFrame, catalogue: Catalogue, how: str = "all", inclu
     """Validity, filter, decode and typed columns for rows that already carry
     the family dimension columns ({m}_reference_len, {m}_codec)."""
     specs = list(catalogue.messages)
+    slim = aligned and not (include_json or keep_decoded)
     df = add_validity(df, {s.msg: s.column_name for s in specs})
     if how is not None:
         df = filter_valid(df, [s.msg for s in specs], how)
     for s in specs:
-        df = decode(df, s.column_name, f"{s.msg}_codec", f"{s.msg}_decoded", valid_col=f"{s.msg}_is_valid",
-                    slim=aligned and not (include_json or keep_decoded))
+        df = decode(df, s.column_name, f"{s.msg}_codec", f"{s.msg}_decoded", valid_col=f"{s.msg}_is_valid", slim=slim)
     if include_json:
         df = df.withColumns(
             {
@@ -73,7 +88,7 @@ def decode_messages(df: DataFrame, catalogue: Catalogue, how: str = "all", inclu
                 for s in specs
             }
         )
-    df = flatten(df, specs, aligned=aligned)
+    df = flatten(df, specs, aligned=aligned, slim=slim)
     drop = [f"{s.msg}_codec" for s in specs]
     if not keep_decoded:
         drop += [f"{s.msg}_decoded" for s in specs]
@@ -84,35 +99,37 @@ def decode_pipeline(
     telemetry: DataFrame,
     vehicles: DataFrame,
     catalogue: Catalogue,
-    codec: DataFrame,
+    codec: DataFrame | None = None,
     start: str | None = None,
     end: str | None = None,
     how: str = "all",
     tie_breaker: str | None = None,
     include_json: bool = False,
-    vehicle_broadcast_max_rows: int | None = None,
     parse_timestamp: bool = True,
+    dimension: DataFrame | None = None,
 ) -> DataFrame:
     """The full decode of a telemetry table.
 
-    ``codec`` should be built with ``declared_only=True`` and aligned
-    (``align_codec``) to the catalogue; ``vehicles`` is the raw master table
-    (VIN, MODEL_YEAR, MODEL_CODE, MODEL_NAME)."""
+    ``dimension`` is the written family dimension (``write_dimension``) of a
+    codec built with ``declared_only=True`` and aligned (``align_codec``) to the
+    catalogue; with ``codec`` alone it is resolved inside the plan. ``vehicles``
+    is the raw master table (VIN, MODEL_YEAR, MODEL_CODE, MODEL_NAME)."""
     msg_cols = [m.column_name for m in catalogue.messages]
     cols = list(catalogue.telemetry_columns) or [c for c in telemetry.columns if c not in msg_cols]
     if tie_breaker and tie_breaker not in cols:
         cols.append(tie_breaker)
     df = load_telemetry(telemetry, cols, msg_cols, start, end)
-    df = join_vehicle(df, vehicle_dimension(vehicles), "vin", vehicle_broadcast_max_rows)
     order = ["app_timestamp"] + ([tie_breaker] if tie_breaker else [])
+    # the fill looks at one vehicle's rows only, so it can go before the join and shuffle fewer columns
     df = forward_fill(df, list(catalogue.ffill_columns), key="vin", order=order)
+    df = join_vehicle(df, vehicle_dimension(vehicles))
     if parse_timestamp and isinstance(df.schema["app_timestamp"].dataType, T.StringType):
         # parsed as wall-clock time (TIMESTAMP_NTZ): the text carries no zone
         df = df.withColumn(
             "app_timestamp", F.try_to_timestamp("app_timestamp", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
         )
-    df = attach_family_dimension(df, family_dimension(catalogue, codec))
-    return decode_messages(df, catalogue, how=how, include_json=include_json)
+    dim = dimension if dimension is not None else family_dimension(catalogue, codec)
+    return decode_messages(attach_family_dimension(df, dim), catalogue, how=how, include_json=include_json)
 
 
 def decode_family(df: DataFrame, family: str, year: int, catalogue: Catalogue, codec: DataFrame,

@@ -5,23 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its row count is at most this bound; the
-# dimensions here are configuration-sized (families x years x messages).
-MAX_BROADCAST_ROWS = 200_000
+# A side is broadcast only when the planner knows it to be at most this large.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows (one small
-    count job, remembered on the DataFrame); otherwise ``df`` unchanged, so the
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size of ``df`` in bytes: exact for written tables and local rows, an upper estimate otherwise.
+    No job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when its planned size is at most ``max_bytes``; otherwise ``df`` unchanged, so the
     join is planned as a shuffle join that AQE can re-plan and split when skewed."""
-    n = getattr(df, "_telemsg_rows", None)
-    if n is None:
-        n = df.count()
-        try:
-            df._telemsg_rows = n  # type: ignore[attr-defined]
-        except AttributeError:
-            pass
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
 
 
 def salted_join(
@@ -34,7 +31,8 @@ def salted_join(
 ) -> DataFrame:
     """Equi-join for a small side too large to broadcast while the big side has
     hot keys: the big side gets a deterministic salt in [0, salts) from its own
-    columns (stable under task retries), the small side is replicated per salt."""
+    columns (stable under task retries), the small side is replicated per salt, so
+    ``salts`` times its size is shuffled."""
     salt = salt_of if salt_of is not None else F.xxhash64(*[F.col(c) for c in big.columns])
     b = big.withColumn("_salt", F.pmod(salt, F.lit(salts)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

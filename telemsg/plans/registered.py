@@ -16,63 +16,67 @@ from telemsg.operators.timeline import first_n_per_group, forward_fill
 from telemsg.operators.union import union_by_name
 from telemsg.operators.validate import (
     add_reference_lengths, add_validity, any_usable, codec_coverage, filter_valid, good_input_marker, length_filter,
-    length_flags,
-    length_semi_filter, length_summary,
+    length_flags, length_semi_filter, length_summary, validity_expr,
 )
-from telemsg.plans.batch import attach_family_dimension, decode_pipeline, family_dimension
+from telemsg.plans.batch import attach_family_dimension, codec_of, decode_pipeline, write_dimension
+from telemsg.plans.sinks import shared_path
 from telemsg.sample.standin import sample_catalogue, telemetry_from_events, vehicles_from_customer
+from telemsg.sources.conversions import read_linear, read_table
 from telemsg.sources.telemetry import join_vehicle, load_telemetry, vehicle_dimension
 
-MSG_COLS = {"A001": "diag_a001", "2947": "diag_2947"}
+MSG_COLS = {"C1F0": "diag_c1f0", "B310": "diag_B310"}
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_vehicle(telemetry_from_events(spark, sf_dir), vehicle_dimension(vehicles_from_customer(spark, sf_dir)))
 
 
-_CODECS: dict = {}
+_DIMENSIONS: dict[tuple[str, bool], DataFrame] = {}
 
 
-def _codec(spark: SparkSession, declared_only: bool):
-    """The sample codec, built once per session (it is configuration; the
-    persisted DataFrame is reused by every query of the run)."""
-    key = (id(spark), declared_only)
-    if key not in _CODECS:
+def _dimension(spark: SparkSession, declared_only: bool) -> DataFrame:
+    """The sample's family dimension, written once per Spark application: what a deployment would do when its
+    conversion files change. Queries read the table."""
+    key = (spark.sparkContext.applicationId, declared_only)
+    if key not in _DIMENSIONS:
         cat = sample_catalogue()
         codec = load_codec(spark, cat.conversions_path, cat, declared_only=declared_only)
-        _CODECS[key] = (cat, align_codec(codec, cat) if declared_only else codec)
-    return _CODECS[key]
+        codec = align_codec(codec, cat) if declared_only else codec
+        _DIMENSIONS[key] = write_dimension(cat, codec, shared_path(spark, "sample-dimension"))
+    return _DIMENSIONS[key]
 
 
 def full_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan -> vehicle join -> forward fill -> validity -> decode -> typed columns."""
-    cat, codec = _codec(spark, declared_only=True)
-    out = decode_pipeline(
-        telemetry_from_events(spark, sf_dir), vehicles_from_customer(spark, sf_dir), cat, codec, tie_breaker="event_id"
+    """Scan -> forward fill -> vehicle join -> validity -> decode -> typed columns."""
+    return decode_pipeline(
+        telemetry_from_events(spark, sf_dir), vehicles_from_customer(spark, sf_dir), sample_catalogue(),
+        tie_breaker="event_id", dimension=_dimension(spark, declared_only=True),
     )
-    return out
+
+
+def _decoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, msg, text, is_valid, decoded) of every message of every event: one scan, one join, one decode."""
+    df = attach_family_dimension(_joined(spark, sf_dir), _dimension(spark, declared_only=False))
+    items = F.array(
+        *[
+            F.struct(
+                F.lit(m).alias("msg"), F.col(c).alias("text"), F.col(f"{m}_codec").alias("codec"),
+                F.coalesce(validity_expr(F.col(c), F.col(f"{m}_reference_len")), F.lit(False)).alias("is_valid"),
+            )
+            for m, c in MSG_COLS.items()
+        ]
+    )
+    one = df.select("event_id", "MODEL_CODE", "MODEL_YEAR", F.explode(items).alias("x")).select(
+        "event_id", "MODEL_CODE", "MODEL_YEAR", "x.msg", "x.text", "x.codec", "x.is_valid"
+    )
+    return decode(one, "text", "codec", "decoded", valid_col="is_valid")
 
 
 def decode_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every field of every valid message, one row per (event, message, field)."""
-    cat, codec = _codec(spark, declared_only=False)
-    df = add_validity(add_reference_lengths(_joined(spark, sf_dir), cat.lengths_df(spark), list(MSG_COLS)), MSG_COLS)
-    df = attach_family_dimension(df, family_dimension(cat, codec))
-    parts = []
-    for msg, col in MSG_COLS.items():
-        d = decode(df, col, f"{msg}_codec", "decoded", valid_col=f"{msg}_is_valid")
-        parts.append(
-            d.select("event_id", F.lit(msg).alias("msg"), F.posexplode("decoded").alias("field_index", "f")).select(
-                "event_id", "msg", "field_index",
-                F.col("f.description").alias("description"),
-                F.col("f.decoded_value").alias("decoded_value"),
-                F.col("f.raw_position").alias("raw_position"),
-                F.col("f.size").alias("size"),
-                F.col("f.msg_type").alias("msg_type"),
-                F.col("f.raw_value").alias("raw_value"),
-            )
-        )
-    return union_by_name(parts, allow_missing=False)
+    rows = _decoded_rows(spark, sf_dir).select("event_id", "msg", F.posexplode("decoded").alias("field_index", "f"))
+    names = ["description", "decoded_value", "raw_position", "size", "msg_type", "raw_value"]
+    return rows.select("event_id", "msg", "field_index", *[F.col(f"f.{c}").alias(c) for c in names])
 
 
 def vehicle_join(spark, sf_dir):
@@ -115,14 +119,14 @@ def reference_length(spark, sf_dir):
     """Expected length per message by (family, year), null when unknown."""
     cat = sample_catalogue()
     df = add_reference_lengths(_joined(spark, sf_dir), cat.lengths_df(spark), list(MSG_COLS))
-    return df.select("event_id", "MODEL_CODE", "MODEL_YEAR", "A001_reference_len", "2947_reference_len")
+    return df.select("event_id", "MODEL_CODE", "MODEL_YEAR", "C1F0_reference_len", "B310_reference_len")
 
 
 def _validity(spark, sf_dir, how):
     cat = sample_catalogue()
     df = add_validity(add_reference_lengths(_joined(spark, sf_dir), cat.lengths_df(spark), list(MSG_COLS)), MSG_COLS)
     return filter_valid(df, list(MSG_COLS), how).select(
-        "event_id", "MODEL_CODE", "MODEL_YEAR", "A001_actual_len", "A001_is_valid", "2947_actual_len", "2947_is_valid"
+        "event_id", "MODEL_CODE", "MODEL_YEAR", "C1F0_actual_len", "C1F0_is_valid", "B310_actual_len", "B310_is_valid"
     )
 
 
@@ -153,7 +157,7 @@ def good_input(spark, sf_dir):
     """goodDiagInput_{msg} = "x" when the message has its expected length, else ""."""
     cat = sample_catalogue()
     flagged = length_flags(_joined(spark, sf_dir), cat.lengths_df(spark), list(MSG_COLS), MSG_COLS)
-    return good_input_marker(flagged, list(MSG_COLS)).select("event_id", "goodDiagInput_A001", "goodDiagInput_2947")
+    return good_input_marker(flagged, list(MSG_COLS)).select("event_id", "goodDiagInput_C1F0", "goodDiagInput_B310")
 
 
 def length_filter_query(spark, sf_dir):
@@ -165,9 +169,9 @@ def length_filter_query(spark, sf_dir):
 
 
 def length_semi(spark, sf_dir):
-    """Semi-join to the configured (family, year, length) of A001."""
+    """Semi-join to the configured (family, year, length) of C1F0."""
     cat = sample_catalogue()
-    return length_semi_filter(_joined(spark, sf_dir), cat.lengths_df(spark), "A001", "diag_a001").select("event_id")
+    return length_semi_filter(_joined(spark, sf_dir), cat.lengths_df(spark), "C1F0", "diag_c1f0").select("event_id")
 
 
 def union_by_name_query(spark, sf_dir):
@@ -182,7 +186,7 @@ def bulk_cast_query(spark, sf_dir):
     """lenient bulk cast (text labels become null)."""
     t = telemetry_from_events(spark, sf_dir).select(
         "event_id",
-        F.substring("diag_a001", 7, 4).alias("digits_int"),
+        F.substring("diag_c1f0", 7, 4).alias("digits_int"),
         F.col("batteryvoltagelevel").alias("volt_int"),
         F.col("app_timestamp").alias("ts"),
     )
@@ -191,11 +195,13 @@ def bulk_cast_query(spark, sf_dir):
 
 def codec_coverage_query(spark, sf_dir):
     """(family, year, msg) of the data and which codec parts exist."""
-    cat, codec = _codec(spark, declared_only=False)
+    cat = sample_catalogue()
+    codec = codec_of(_dimension(spark, declared_only=False), cat.message_codes)
     j = _joined(spark, sf_dir)
     fy = j.select(F.col("MODEL_CODE").alias("family"), F.col("MODEL_YEAR").alias("year"))
     keys = union_by_name([fy.withColumn("msg", F.lit(m)) for m in MSG_COLS])
-    return codec_coverage(keys, codec)
+    linear, table = (read(spark, cat.conversions_path).where("ecu = 'BCM'") for read in (read_linear, read_table))
+    return codec_coverage(keys, codec, linear, table)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -2,24 +2,54 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def existing_schema(spark, table_or_path: str, fmt: str = "parquet"):
+    """Schema of a table or of all files below a path, or None where nothing is there yet. Other failures, such as
+    a denied access, are raised."""
+    if "/" not in table_or_path:
+        return spark.table(table_or_path).schema if spark.catalog.tableExists(table_or_path) else None
+    try:
+        return spark.read.format(fmt).option("mergeSchema", True).load(table_or_path).schema
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def read_merged(spark, path: str, fmt: str = "parquet") -> DataFrame:
+    """All columns of all files below ``path``, whichever file's schema they are in (what K2 appended)."""
+    return spark.read.format(fmt).option("mergeSchema", True).load(path)
+
+
 def write_table(df: DataFrame, table_or_path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
                 fmt: str = "parquet") -> None:
     """K1/K2/K3: overwrite replaces data and schema; append merges the schema
-    by name (missing columns on either side become null)."""
+    by name (missing columns on either side become null): a catalog table gets the new columns, files below a path
+    are read together by ``read_merged``."""
     spark = df.sparkSession
     is_path = "/" in table_or_path
-    if mode == "append":
-        try:
-            existing = spark.read.format(fmt).load(table_or_path) if is_path else spark.table(table_or_path)
-            missing = [f for f in existing.schema.fields if f.name not in df.columns]
-            if missing:
-                df = df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
-        except Exception:  # noqa: BLE001 - no table yet: a plain first write
-            pass
+    if mode == "append" and fmt != "delta":
+        existing = existing_schema(spark, table_or_path, fmt)
+        if existing is not None:
+            have = {c.lower() for c in df.columns}
+            df = df.select(
+                "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in existing.fields if f.name.lower() not in have]
+            )
+            if not is_path:
+                known = {f.name.lower() for f in existing.fields}
+                new = [f for f in df.schema.fields if f.name.lower() not in known]
+                if new:
+                    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+                    spark.sql(f"ALTER TABLE {table_or_path} ADD COLUMNS ({kinds})")
+                order = [f.name for f in existing.fields] + [f.name for f in new]
+                df = df.select(*[F.col(f"`{c}`") for c in order])
     w = df.write.mode(mode).format(fmt)
     if fmt == "delta":
         w = w.option("overwriteSchema", mode == "overwrite").option("mergeSchema", mode == "append")
@@ -51,6 +81,16 @@ def run_summary(df: DataFrame, keys: list[str] = ("MODEL_CODE", "MODEL_YEAR")) -
     )
 
 
+def shared_path(spark, name: str) -> str:
+    """A new path in the folder all executors share (``spark.checkpoint.dir``); where the session names none, as in
+    tests on one machine, a temporary folder is set for it."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = f"file://{tempfile.mkdtemp(prefix='telemsg-shared-')}"
+        spark.sparkContext.setCheckpointDir(root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def lineage_cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's ``spark.checkpoint.dir`` (a shared
     folder on a cluster). The folder is never invented here: set it on the session."""

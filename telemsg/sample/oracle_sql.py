@@ -21,12 +21,12 @@ tel AS (
               WHEN event_id % 47 = 0 THEN 'E#1'
               WHEN event_id % 43 = 0 THEN substr(a, 1, 18)
               WHEN event_id % 37 = 0 THEN substr(a, 1, 10) || 'ZZ' || substr(a, 13)
-              ELSE a END AS diag_a001,
-         CASE WHEN event_id % 59 = 0 THEN NULL ELSE w END AS diag_2947
+              ELSE a END AS diag_c1f0,
+         CASE WHEN event_id % 59 = 0 THEN NULL ELSE w END AS diag_B310
   FROM (SELECT *,
-          printf('62A001%04X%02X%02X%02X%04X', (event_id * 40503) % 65536, user_id % 256,
+          printf('62C1F0%04X%02X%02X%02X%04X', (event_id * 40503) % 65536, user_id % 256,
                  (event_id * 7) % 256, (event_id * 13 + user_id) % 256, (event_id * 977) % 65536) AS a,
-          printf('622947%02X%02X%02X%02X', (event_id * 3) % 32, user_id % 24, (event_id + user_id) % 256,
+          printf('62B310%02X%02X%02X%02X', (event_id * 3) % 32, user_id % 24, (event_id + user_id) % 256,
                  event_id % 17) AS w
         FROM events) e
 )"""
@@ -45,20 +45,20 @@ joined AS (
 
 LENGTHS = """
 lens(family, year, msg, length) AS (VALUES
-  ('AU', 2024, 'A001', 20), ('AU', 2025, 'A001', 20), ('AU', 2026, 'A001', 20),
-  ('BU', 2024, 'A001', 20), ('BU', 2025, 'A001', 20), ('FU', 2024, 'A001', 20), ('FU', 2025, 'A001', 18),
-  ('HO', 2024, 'A001', 20), ('HO', 2026, 'A001', 0),
-  ('MA', 2024, 'A001', 20), ('MA', 2025, 'A001', 20), ('MA', 2026, 'A001', 20),
-  ('AU', 2024, '2947', 14), ('AU', 2025, '2947', 14), ('AU', 2026, '2947', 14),
-  ('BU', 2024, '2947', 14), ('BU', 2025, '2947', 14), ('FU', 2024, '2947', 14), ('HO', 2024, '2947', 14),
-  ('MA', 2024, '2947', 14), ('MA', 2025, '2947', 14), ('MA', 2026, '2947', 14)
+  ('AU', 2024, 'C1F0', 20), ('AU', 2025, 'C1F0', 20), ('AU', 2026, 'C1F0', 20),
+  ('BU', 2024, 'C1F0', 20), ('BU', 2025, 'C1F0', 20), ('FU', 2024, 'C1F0', 20), ('FU', 2025, 'C1F0', 18),
+  ('HO', 2024, 'C1F0', 20), ('HO', 2026, 'C1F0', 0),
+  ('MA', 2024, 'C1F0', 20), ('MA', 2025, 'C1F0', 20), ('MA', 2026, 'C1F0', 20),
+  ('AU', 2024, 'B310', 14), ('AU', 2025, 'B310', 14), ('AU', 2026, 'B310', 14),
+  ('BU', 2024, 'B310', 14), ('BU', 2025, 'B310', 14), ('FU', 2024, 'B310', 14), ('HO', 2024, 'B310', 14),
+  ('MA', 2024, 'B310', 14), ('MA', 2025, 'B310', 14), ('MA', 2026, 'B310', 14)
 )"""
 
 REFLEN = """
 reflen AS (
   SELECT family, year,
-         max(CASE WHEN msg = 'A001' THEN length END) AS a_ref,
-         max(CASE WHEN msg = '2947' THEN length END) AS w_ref
+         max(CASE WHEN msg = 'C1F0' THEN length END) AS a_ref,
+         max(CASE WHEN msg = 'B310' THEN length END) AS w_ref
   FROM lens GROUP BY family, year
 )"""
 
@@ -242,11 +242,11 @@ def table_text(raw: str, rows: list[tuple[str, str]], name: str, has_table: str,
 
 LAMP_ROWS = [("$0", "Off"), ("$1", "On"), ("$02", "Blinking"), ("$3", "Fault"), ("$1", "On (duplicate, never used)"),
              (" $A ", "Test")]
-WAKE_ROWS = [("$00", "No Reason"), ("$01", "Door"), ("$2", "Ignition"), ("$02", "Ignition (padded, never used)"),
+CAUSE_ROWS = [("$00", "No Reason"), ("$01", "Door"), ("$2", "Ignition"), ("$02", "Ignition (padded, never used)"),
              ("$0A", "Timer"), ("$10", "CAN Network"), ("$1F", "Remote"), ("$FF", "Invalid")]
 
 # description -> (position, size, type, conversion builder(raw) or None)
-A001_FIELDS = [
+C1F0_FIELDS = [
     ("SID-PR", "0 [0]", "1 [0]", "-", None),
     ("RecordDataIdentifier", "1 [0]", "2 [0]", "-", None),
     ("Reserved", "9 [4]", "0 [4]", "I", None),
@@ -272,14 +272,14 @@ A001_FIELDS = [
     ("Bad Range", "0 [6]", "0 [3]", "I", None),
     ("Backward Zero", "0 [0]", "1 [1]", "L", lambda r: linear_text(r, "CAST(1 AS DOUBLE)", "-40", 0, 0xC8)),
 ]
-W2947_FIELDS = [
+WB310_FIELDS = [
     ("SID-PR", "0 [0]", "1 [0]", "-", None),
     ("RecordDataIdentifier", "1 [0]", "2 [0]", "-", None),
 ] + [
-    (d, f"{3 + i} [0]", "1 [0]", "T", lambda r: table_text(r, WAKE_ROWS, "Wake-Up Reasons", HAS_TABLE))
+    (d, f"{3 + i} [0]", "1 [0]", "T", lambda r: table_text(r, CAUSE_ROWS, "Start Causes", HAS_TABLE))
     for i, d in enumerate(
-        ["Last Wake Up reason", "Past Wake-up Condition number 1", "Past Wake-up Condition number 2",
-         "Past Wake-up Condition number 3"]
+        ["Latest start cause", "Earlier start cause 1", "Earlier start cause 2",
+         "Earlier start cause 3"]
     )
 ]
 RAW_VALUE_TYPES = ("L", "T")  # every sample family has a linear table; T ids are all present
@@ -294,27 +294,27 @@ def field_sql(m: str, pos: str, size: str, typ: str, conv) -> tuple[str, str]:
     return value, raw_value
 
 
-A001_TYPED = [  # (description, output column, SQL type) in declared order
-    ("Supply Voltage", "A001_supply_voltage", "DOUBLE"),
-    ("Supply Voltage Raw", "A001_supply_voltage_raw", "INTEGER"),
-    ("Wheel Speed", "A001_wheel_speed", "DOUBLE"),
-    ("Lamp State", "A001_lamp_state", "VARCHAR"),
-    ("Door Fault", "A001_door_fault", "VARCHAR"),
-    ("Heater Present", "A001_heater_present", "VARCHAR"),
-    ("Coolant Temp", "A001_coolant_temp", "DOUBLE"),
-    ("Charge Level", "A001_charge_level", "DOUBLE"),
-    ("Odometer Fine", "A001_odometer_fine", "DOUBLE"),
-    ("Trip Counter", "A001_trip_counter", "INTEGER"),
-    ("Trip Low Shift", "A001_trip_low_shift", "INTEGER"),
-    ("Past End", "A001_past_end", "DOUBLE"),
-    ("Overrun", "A001_overrun", "VARCHAR"),
-    ("Not In Layout", "A001_not_in_layout", "VARCHAR"),
+C1F0_TYPED = [  # (description, output column, SQL type) in declared order
+    ("Supply Voltage", "C1F0_supply_voltage", "DOUBLE"),
+    ("Supply Voltage Raw", "C1F0_supply_voltage_raw", "INTEGER"),
+    ("Wheel Speed", "C1F0_wheel_speed", "DOUBLE"),
+    ("Lamp State", "C1F0_lamp_state", "VARCHAR"),
+    ("Door Fault", "C1F0_door_fault", "VARCHAR"),
+    ("Heater Present", "C1F0_heater_present", "VARCHAR"),
+    ("Coolant Temp", "C1F0_coolant_temp", "DOUBLE"),
+    ("Charge Level", "C1F0_charge_level", "DOUBLE"),
+    ("Odometer Fine", "C1F0_odometer_fine", "DOUBLE"),
+    ("Trip Counter", "C1F0_trip_counter", "INTEGER"),
+    ("Trip Low Shift", "C1F0_trip_low_shift", "INTEGER"),
+    ("Past End", "C1F0_past_end", "DOUBLE"),
+    ("Overrun", "C1F0_overrun", "VARCHAR"),
+    ("Not In Layout", "C1F0_not_in_layout", "VARCHAR"),
 ]
-W2947_TYPED = [
-    ("Last Wake Up reason", "2947_last_wake_up_reason", "VARCHAR"),
-    ("Past Wake-up Condition number 1", "2947_wakeup_reason_01", "VARCHAR"),
-    ("Past Wake-up Condition number 2", "2947_wakeup_reason_02", "VARCHAR"),
-    ("Past Wake-up Condition number 3", "2947_wakeup_reason_03", "VARCHAR"),
+WB310_TYPED = [
+    ("Latest start cause", "B310_latest_start_cause", "VARCHAR"),
+    ("Earlier start cause 1", "B310_earlier_start_cause_01", "VARCHAR"),
+    ("Earlier start cause 2", "B310_earlier_start_cause_02", "VARCHAR"),
+    ("Earlier start cause 3", "B310_earlier_start_cause_03", "VARCHAR"),
 ]
 
 
@@ -337,11 +337,11 @@ def with_(*ctes: str) -> str:
 
 VALIDITY = """
 flags AS (
-  SELECT j.*, r.a_ref AS A001_reference_len, r.w_ref AS "2947_reference_len",
-         CAST(length(diag_a001) AS INTEGER) AS A001_actual_len,
-         coalesce(diag_a001 IS NOT NULL AND diag_a001 <> 'E#1' AND length(diag_a001) = r.a_ref AND r.a_ref IS NOT NULL, false) AS A001_is_valid,
-         CAST(length(diag_2947) AS INTEGER) AS "2947_actual_len",
-         coalesce(diag_2947 IS NOT NULL AND diag_2947 <> 'E#1' AND length(diag_2947) = r.w_ref AND r.w_ref IS NOT NULL, false) AS "2947_is_valid"
+  SELECT j.*, r.a_ref AS C1F0_reference_len, r.w_ref AS "B310_reference_len",
+         CAST(length(diag_c1f0) AS INTEGER) AS C1F0_actual_len,
+         coalesce(diag_c1f0 IS NOT NULL AND diag_c1f0 <> 'E#1' AND length(diag_c1f0) = r.a_ref AND r.a_ref IS NOT NULL, false) AS C1F0_is_valid,
+         CAST(length(diag_B310) AS INTEGER) AS "B310_actual_len",
+         coalesce(diag_B310 IS NOT NULL AND diag_B310 <> 'E#1' AND length(diag_B310) = r.w_ref AND r.w_ref IS NOT NULL, false) AS "B310_is_valid"
   FROM joined j LEFT JOIN reflen r ON j.MODEL_CODE = r.family AND j.MODEL_YEAR = r.year
 )"""
 
@@ -349,8 +349,8 @@ FFILL_W = "OVER (PARTITION BY vin ORDER BY app_timestamp, event_id ROWS BETWEEN
 
 
 def full_decode_sql() -> str:
-    typed = typed_select("diag_a001", A001_FIELDS, A001_TYPED, "A001_is_valid") + typed_select(
-        "diag_2947", W2947_FIELDS, W2947_TYPED, '"2947_is_valid"'
+    typed = typed_select("diag_c1f0", C1F0_FIELDS, C1F0_TYPED, "C1F0_is_valid") + typed_select(
+        "diag_B310", WB310_FIELDS, WB310_TYPED, '"B310_is_valid"'
     )
     return with_(TEL, VEH, JOINED, LENGTHS, REFLEN, VALIDITY) + f"""
 , filled AS (
@@ -359,18 +359,18 @@ def full_decode_sql() -> str:
   FROM flags f
 )
 SELECT vin, CAST(strptime(app_timestamp, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS app_timestamp, event_id,
-       batteryvoltagelevel, tbm_keyon, dt, diag_a001, diag_2947, MODEL_YEAR, MODEL_CODE, MODEL_NAME,
-       batteryvoltagelevel_reference, tbm_keyon_reference, A001_reference_len, "2947_reference_len",
-       A001_actual_len, A001_is_valid, "2947_actual_len", "2947_is_valid",
+       batteryvoltagelevel, tbm_keyon, dt, diag_c1f0, diag_B310, MODEL_YEAR, MODEL_CODE, MODEL_NAME,
+       batteryvoltagelevel_reference, tbm_keyon_reference, C1F0_reference_len, "B310_reference_len",
+       C1F0_actual_len, C1F0_is_valid, "B310_actual_len", "B310_is_valid",
        {", ".join(typed)}
-FROM filled WHERE A001_is_valid AND "2947_is_valid"
+FROM filled WHERE C1F0_is_valid AND "B310_is_valid"
 """
 
 
 def decode_message_sql() -> str:
     selects = []
-    for msg, m, fields, valid in (("A001", "diag_a001", A001_FIELDS, "A001_is_valid"),
-                                  ("2947", "diag_2947", W2947_FIELDS, '"2947_is_valid"')):
+    for msg, m, fields, valid in (("C1F0", "diag_c1f0", C1F0_FIELDS, "C1F0_is_valid"),
+                                  ("B310", "diag_B310", WB310_FIELDS, '"B310_is_valid"')):
         for idx, (desc, pos, size, typ, conv) in enumerate(fields):
             value, raw_value = field_sql(m, pos, size, typ, conv)
             # 'Reserved' keeps the position of its first entry (index 2) but the last entry's rule
@@ -400,48 +400,49 @@ SIMPLE_SQL = {
     + f"SELECT vin, event_id, app_timestamp, last_value(batteryvoltagelevel IGNORE NULLS) {FFILL_W}"
     f" AS batteryvoltagelevel_reference, last_value(tbm_keyon IGNORE NULLS) {FFILL_W} AS tbm_keyon_reference FROM tel",
     "reference_length": _base()
-    + 'SELECT j.event_id, j.MODEL_CODE, j.MODEL_YEAR, r.a_ref AS A001_reference_len, r.w_ref AS "2947_reference_len"'
+    + 'SELECT j.event_id, j.MODEL_CODE, j.MODEL_YEAR, r.a_ref AS C1F0_reference_len, r.w_ref AS "B310_reference_len"'
     " FROM joined j LEFT JOIN reflen r ON j.MODEL_CODE = r.family AND j.MODEL_YEAR = r.year",
     "validity_all": _base(VALIDITY)
-    + 'SELECT event_id, MODEL_CODE, MODEL_YEAR, A001_actual_len, A001_is_valid, "2947_actual_len", "2947_is_valid"'
-    ' FROM flags WHERE A001_is_valid AND "2947_is_valid"',
+    + 'SELECT event_id, MODEL_CODE, MODEL_YEAR, C1F0_actual_len, C1F0_is_valid, "B310_actual_len", "B310_is_valid"'
+    ' FROM flags WHERE C1F0_is_valid AND "B310_is_valid"',
     "validity_any": _base(VALIDITY)
-    + 'SELECT event_id, MODEL_CODE, MODEL_YEAR, A001_actual_len, A001_is_valid, "2947_actual_len", "2947_is_valid"'
-    ' FROM flags WHERE A001_is_valid OR "2947_is_valid"',
+    + 'SELECT event_id, MODEL_CODE, MODEL_YEAR, C1F0_actual_len, C1F0_is_valid, "B310_actual_len", "B310_is_valid"'
+    ' FROM flags WHERE C1F0_is_valid OR "B310_is_valid"',
     "any_usable": with_(TEL)
-    + "SELECT event_id FROM tel WHERE (diag_a001 IS NOT NULL AND diag_a001 <> 'E#1')"
-    " OR (diag_2947 IS NOT NULL AND diag_2947 <> 'E#1')",
+    + "SELECT event_id FROM tel WHERE (diag_c1f0 IS NOT NULL AND diag_c1f0 <> 'E#1')"
+    " OR (diag_B310 IS NOT NULL AND diag_B310 <> 'E#1')",
     "length_summary": _base()
     + """, fl AS (
   SELECT j.MODEL_CODE, j.MODEL_YEAR,
-         coalesce(length(diag_a001) = r.a_ref, false) AS va, coalesce(length(diag_2947) = r.w_ref, false) AS vw
+         coalesce(length(diag_c1f0) = r.a_ref, false) AS va, coalesce(length(diag_B310) = r.w_ref, false) AS vw
   FROM joined j LEFT JOIN reflen r ON j.MODEL_CODE = r.family AND j.MODEL_YEAR = r.year)
-SELECT MODEL_CODE, MODEL_YEAR, count(*) AS total_rows, CAST(sum(CAST(va AS INTEGER)) AS BIGINT) AS valid_A001_count,
-       CAST(sum(CAST(vw AS INTEGER)) AS BIGINT) AS valid_2947_count,
+SELECT MODEL_CODE, MODEL_YEAR, count(*) AS total_rows, CAST(sum(CAST(va AS INTEGER)) AS BIGINT) AS valid_C1F0_count,
+       CAST(sum(CAST(vw AS INTEGER)) AS BIGINT) AS valid_B310_count,
        CAST(sum(CAST(va AND vw AS INTEGER)) AS BIGINT) AS all_valid_count
 FROM fl GROUP BY MODEL_CODE, MODEL_YEAR""",
     "good_input": _base()
-    + "SELECT j.event_id, CASE WHEN coalesce(length(diag_a001) = r.a_ref, false) THEN 'x' ELSE '' END"
-    " AS goodDiagInput_A001, CASE WHEN coalesce(length(diag_2947) = r.w_ref, false) THEN 'x' ELSE '' END"
-    ' AS "goodDiagInput_2947" FROM joined j LEFT JOIN reflen r ON j.MODEL_CODE = r.family AND j.MODEL_YEAR = r.year',
+    + "SELECT j.event_id, CASE WHEN coalesce(length(diag_c1f0) = r.a_ref, false) THEN 'x' ELSE '' END"
+    " AS goodDiagInput_C1F0, CASE WHEN coalesce(length(diag_B310) = r.w_ref, false) THEN 'x' ELSE '' END"
+    ' AS "goodDiagInput_B310" FROM joined j LEFT JOIN reflen r ON j.MODEL_CODE = r.family AND j.MODEL_YEAR = r.year',
     "length_filter": _base()
     + "SELECT j.event_id, j.MODEL_CODE FROM joined j LEFT JOIN reflen r ON j.MODEL_CODE = r.family"
-    " AND j.MODEL_YEAR = r.year WHERE coalesce(length(diag_a001) = r.a_ref, false)"
-    " AND coalesce(length(diag_2947) = r.w_ref, false)",
+    " AND j.MODEL_YEAR = r.year WHERE coalesce(length(diag_c1f0) = r.a_ref, false)"
+    " AND coalesce(length(diag_B310) = r.w_ref, false)",
     "length_semi": _base()
-    + "SELECT j.event_id FROM joined j WHERE EXISTS (SELECT 1 FROM lens l WHERE l.msg = 'A001'"
-    " AND l.family = j.MODEL_CODE AND l.year = j.MODEL_YEAR AND l.length = length(j.diag_a001))",
+    + "SELECT j.event_id FROM joined j WHERE EXISTS (SELECT 1 FROM lens l WHERE l.msg = 'C1F0'"
+    " AND l.family = j.MODEL_CODE AND l.year = j.MODEL_YEAR AND l.length = length(j.diag_c1f0))",
     "union_by_name": with_(TEL, VEH, JOINED)
     + "SELECT event_id, MODEL_CODE, CAST(NULL AS VARCHAR) AS tbm_keyon FROM joined WHERE MODEL_YEAR = 2024"
     " UNION ALL SELECT event_id, CAST(NULL AS VARCHAR) AS MODEL_CODE, tbm_keyon FROM joined WHERE MODEL_YEAR <> 2024",
     "bulk_cast": with_(TEL)
-    + "SELECT event_id, CASE WHEN regexp_full_match(trim(substr(diag_a001, 7, 4)), '[+-]?[0-9]+')"
-    " THEN TRY_CAST(substr(diag_a001, 7, 4) AS INTEGER) END AS digits_int,"
+    + "SELECT event_id, CASE WHEN regexp_full_match(trim(substr(diag_c1f0, 7, 4)), '[+-]?[0-9]+')"
+    " THEN TRY_CAST(substr(diag_c1f0, 7, 4) AS INTEGER) END AS digits_int,"
     " TRY_CAST(trunc(batteryvoltagelevel) AS INTEGER) AS volt_int, TRY_CAST(app_timestamp AS TIMESTAMP) AS ts FROM tel",
     "codec_coverage": _base()
     + """SELECT DISTINCT j.MODEL_CODE AS family, j.MODEL_YEAR AS year, l.msg,
        (j.MODEL_CODE, j.MODEL_YEAR) IN """ + LAYOUT_KEYS + """ AS has_layout,
-       (j.MODEL_CODE, j.MODEL_YEAR) IN """ + LAYOUT_KEYS + """ AS has_linear,
+       (j.MODEL_CODE, j.MODEL_YEAR) IN """ + LAYOUT_KEYS + """ OR (j.MODEL_CODE, j.MODEL_YEAR) = ('FU', 2025)
+         AS has_linear,
        ((j.MODEL_CODE, j.MODEL_YEAR) IN """ + LAYOUT_KEYS + """ AND j.MODEL_CODE IN ('AU', 'BU', 'MA')) AS has_table
 FROM joined j JOIN (SELECT DISTINCT msg FROM lens) l ON true""",
 }

@@ -25,14 +25,14 @@ def sample_catalogue() -> Catalogue:
 
 def telemetry_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(vin, app_timestamp text, event_id, batteryvoltagelevel, tbm_keyon, dt,
-    diag_a001, diag_2947) — one row per event, vin = user id."""
+    diag_c1f0, diag_B310) — one row per event, vin = user id."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     eid, uid = F.col("event_id"), F.col("user_id")
     a = F.format_string(
-        "62A001%04X%02X%02X%02X%04X",
+        "62C1F0%04X%02X%02X%02X%04X",
         (eid * 40503) % 65536, uid % 256, (eid * 7) % 256, (eid * 13 + uid) % 256, (eid * 977) % 65536,
     )
-    w = F.format_string("622947%02X%02X%02X%02X", (eid * 3) % 32, uid % 24, (eid + uid) % 256, eid % 17)
+    w = F.format_string("62B310%02X%02X%02X%02X", (eid * 3) % 32, uid % 24, (eid + uid) % 256, eid % 17)
     diag_a = (
         F.when(eid % 53 == 0, F.lit(None).cast("string"))
         .when(eid % 47 == 0, F.lit("E#1"))
@@ -47,8 +47,8 @@ def telemetry_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 4 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("batteryvoltagelevel"),
         F.when(F.col("event_type").isin("click", "purchase"), F.col("event_type")).alias("tbm_keyon"),
         F.to_date("ts").alias("dt"),
-        diag_a.alias("diag_a001"),
-        F.when(eid % 59 == 0, F.lit(None).cast("string")).otherwise(w).alias("diag_2947"),
+        diag_a.alias("diag_c1f0"),
+        F.when(eid % 59 == 0, F.lit(None).cast("string")).otherwise(w).alias("diag_B310"),
     )
 
 

@@ -15,7 +15,7 @@ lookup by constructed file name would miss it.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,16 +129,42 @@ def read_table(spark: SparkSession, root: str) -> DataFrame:
     return _read_conv(spark, root, "T", TABLE_COLUMNS)
 
 
-def _read_conv(spark: SparkSession, root: str, kind: str, cols) -> DataFrame:
-    schema = _string_schema(cols)
-    df = _read_or_empty(
-        # enforceSchema=False would reject files whose header differs; columns are
-        # matched by position, as the header is part of the fixed file format.
-        lambda p: spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(p),
-        f"{root.rstrip('/')}/*/*/conv_{kind}_*.csv",
-        schema,
-        spark,
+def _read_by_header(spark: SparkSession, glob: str, required: list[str], optional: list[str] = ()) -> DataFrame:
+    """Rows of all CSV files of a glob: (_path, ord, <columns by header name, as text>). Every file is read by its own
+    header, so files may differ in width and order; a file without a required column ends the job with its name. A
+    row's cells beyond its header are dropped, missing ones are null; blank lines are skipped; a line is a row."""
+    schema = _string_schema(["value"])
+    lines = _read_or_empty(lambda p: spark.read.schema(schema).text(p), glob, schema, spark)
+    lines = _file_order(lines.where(F.trim("value") != ""))
+    # commas outside double quotes; a quoted cell loses its quotes, doubled ones inside become one
+    cells = F.split(F.regexp_replace("value", "^\ufeff|\r$", ""), r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    cells = F.transform(
+        cells,
+        lambda c: F.when(
+            c.rlike(r'^\s*".*"\s*$'), F.replace(F.regexp_replace(c, r'^\s*"|"\s*$', ""), F.lit('""'), F.lit('"'))
+        ).otherwise(c),
     )
+    lines = lines.select("_path", "ord", cells.alias("cells"))
+    header = Window.partitionBy("_path").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = lines.withColumn("header", F.first("cells").over(header)).withColumn(
+        "nth", F.row_number().over(Window.partitionBy("_path").orderBy("ord"))
+    )
+
+    def cell(name: str, must: bool):
+        at = F.array_position("header", name)
+        found = F.when(at > 0, F.get("cells", (at - 1).cast("int")))
+        if must:
+            missing = F.concat(F.lit(f"no column {name!r} in the header of "), "_path")
+            found = F.when(at > 0, F.get("cells", (at - 1).cast("int"))).otherwise(F.raise_error(missing).cast("string"))
+        return found.alias(name)
+
+    return rows.where("nth > 1").select(
+        "_path", "ord", *[cell(c, True) for c in required], *[cell(c, False) for c in optional]
+    )
+
+
+def _read_conv(spark: SparkSession, root: str, kind: str, cols) -> DataFrame:
+    df = _read_by_header(spark, f"{root.rstrip('/')}/*/*/conv_{kind}_*.csv", cols)
     rx = CONV_PATH_RE % kind
     df = df.select(
         F.regexp_extract("_path", rx, 1).alias("family"),
@@ -146,25 +172,21 @@ def _read_conv(spark: SparkSession, root: str, kind: str, cols) -> DataFrame:
         F.regexp_extract("_path", rx, 3).alias("ecu"),
         F.regexp_extract("_path", rx, 4).alias("_file_family"),
         F.regexp_extract("_path", rx, 5).alias("_file_year"),
-        "_path",
+        "ord",
         *cols,
     ).filter(
         (F.col("family") == F.col("_file_family"))
         & (F.col("_dir_year") == F.col("_file_year"))
         & F.col("_dir_year").rlike(r"^\d+$")
     )
-    df = _file_order(df)
     return df.select("family", F.col("_dir_year").cast("int").alias("year"), "ecu", "ord", *cols)
 
 
 def read_layout_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Layout in CSV form (``ByteBit,ByteBit_Description,Size,Type,Name,ID``)
-    -> one row per file: (file, name, entries) in the JSON layout shape (S8).
-    ``default_value`` is set only when a sixth-plus column carries a value."""
-    schema = _string_schema(LAYOUT_CSV_COLUMNS + ["default_value"])
-    df = spark.read.schema(schema).option("header", True).csv(path)
-    df = df.withColumn("_path", F.col("_metadata.file_path"))
-    df = _file_order(df)
+    """Layout in CSV form (``ByteBit,ByteBit_Description,Size,Type,Name,ID`` and perhaps ``Default_Value``, by header
+    name) -> one row per file: (file, name, entries) in the JSON layout shape (S8). ``default_value`` is set only
+    where the ``Default_Value`` cell is not blank; a header without one of the six columns is refused."""
+    df = _read_by_header(spark, path, LAYOUT_CSV_COLUMNS, ["Default_Value"])
     entry = F.struct(
         F.col("ByteBit").alias("byte"),
         F.col("ByteBit_Description").alias("description"),
@@ -172,7 +194,7 @@ def read_layout_csv(spark: SparkSession, path: str) -> DataFrame:
         F.col("Type").alias("type"),
         F.col("Name").alias("name"),
         F.col("ID").alias("id"),
-        F.when(F.trim("default_value") != "", F.col("default_value")).alias("default_value"),
+        F.when(F.trim("Default_Value") != "", F.col("Default_Value")).alias("default_value"),
     )
     return df.groupBy("_path").agg(
         F.transform(
@@ -186,5 +208,23 @@ def read_layout_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_layout_json(layouts: DataFrame, out_dir: str) -> None:
-    """Write layouts from ``read_layout_csv`` as JSON (one object per line)."""
-    layouts.select("name", "entries").write.mode("overwrite").json(out_dir)
+    """Write layouts from ``read_layout_csv`` as JSON, one file each, under the name and folder by which
+    ``read_layouts`` finds them: ``{family}/{year}/DDT_{ecu}_{msg}_{family}_{year}.json``. ``out_dir`` is a store the
+    executors share; a repeated task writes the same file again."""
+    name = F.regexp_replace("name", r"\.csv$", "")
+    rows = layouts.select(
+        F.concat(F.regexp_extract(name, r"_([^_]+)_[^_]+$", 1), F.lit("/"), F.regexp_extract(name, r"_([^_]+)$", 1),
+                 F.lit("/"), name, F.lit(".json")).alias("file"),
+        F.to_json(F.struct("name", "entries")).alias("json"),
+    )
+
+    def store(rows) -> None:
+        from pyarrow import fs
+
+        target, root = fs.FileSystem.from_uri(out_dir) if "://" in out_dir else (fs.LocalFileSystem(), out_dir)
+        for r in rows:
+            target.create_dir(f"{root}/{r['file'].rpartition('/')[0]}", recursive=True)
+            with target.open_output_stream(f"{root}/{r['file']}") as f:
+                f.write(r["json"].encode("utf-8"))
+
+    rows.foreachPartition(store)

@@ -48,15 +48,15 @@ def vehicle_dimension(df: DataFrame, vin: str = "VIN", year: str = "MODEL_YEAR",
 
 
 def join_vehicle(telemetry: DataFrame, vehicles: DataFrame, on: str = "vin",
-                 broadcast_max_rows: int | None = None) -> DataFrame:
+                 broadcast_max_bytes: int | None = None) -> DataFrame:
     """Inner join on the vehicle id; the result keeps the telemetry's
     ``on`` column. The vehicle master grows with the fleet, so it is broadcast
-    only when ``broadcast_max_rows`` is given and its row count is within it;
+    only when ``broadcast_max_bytes`` is given and its planned size is within it;
     otherwise the join is left to the planner (AQE picks broadcast at run time
     when the side is small and splits skewed partitions when it is not)."""
     from telemsg.plans.joins import checked_broadcast
 
     v = vehicles.withColumnRenamed("VIN", "_vin")
-    if broadcast_max_rows is not None:
-        v = checked_broadcast(v, broadcast_max_rows)
+    if broadcast_max_bytes is not None:
+        v = checked_broadcast(v, broadcast_max_bytes)
     return telemetry.join(v, telemetry[on] == v["_vin"], "inner").drop("_vin")

@@ -68,4 +68,4 @@ def test_entry_runs(spark):
 
     df = E.entry(spark)
     assert df.count() >= 0
-    assert "A001_supply_voltage" in df.columns
+    assert "C1F0_supply_voltage" in df.columns
