@@ -8,9 +8,10 @@
 4. Confirmation on the full sets, recomputed from the two texts, and connected components of the links.
 5. Members that their bucket's first class did not reach are paired with the first of those left over, again and
    again, as long as that resolves many of them; then every pair still left in different components of one bucket is
-   taken. So no candidate link is lost, while a bucket of near copies costs one pair a member, not all pairs.
+   taken, with longer signatures of ``FINE`` minima for a narrow margin. So no candidate link is lost, while a
+   bucket of near copies costs one pair a member, not all pairs.
 
-A pair at similarity 0.85 shares no band with probability 8e-7, and falls to the bit-count margin with 1e-7.
+A pair at similarity 0.85 shares no band with probability 8e-7, and falls to a bit-count margin with at most 1e-6.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; a text below five words is one
 shingle; repeated rows are copies of each other; rows without an id are linked with nothing and kept, their
@@ -35,10 +36,12 @@ from .textbytes import chunks, mix64, shingles, utf8, words
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-HASHES, BANDS, ROWS, BITS = 128, 24, 5, 2
+HASHES, BANDS, ROWS, BITS, FINE = 128, 24, 5, 2, 1024
 _RNG = np.random.default_rng(777)
 _MUL = _RNG.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)
+_FINE_MUL = _RNG.integers(0, 2**31, FINE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_FINE_ADD = _RNG.integers(0, 2**32, FINE, dtype=np.uint32)
 _SIGNATURE = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -75,25 +78,47 @@ def signatures(data: np.ndarray, offsets: np.ndarray):
     rows, grams = shingles(row, h, n)
     size = np.bincount(rows, minlength=n).astype(np.int64)
     s1, s2 = set_ids(rows, grams, n)
-    minima = np.zeros((HASHES, n), np.uint32)
-    if len(rows):
-        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-        x = (grams >> np.uint64(32)).astype(np.uint32)
-        for i in range(HASHES):
-            minima[i, rows[first]] = np.minimum.reduceat(x * _MUL[i] + _ADD[i], first)
+    minima = minima_of(rows, grams, n, _MUL, _ADD)
     bands = np.empty((n, BANDS), np.uint64)
     for b in range(BANDS):
         key = np.full(n, b + 1, np.uint64)
         for m in minima[b * ROWS : (b + 1) * ROWS]:
             key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + m)
         bands[:, b] = key
+    return size, s1, s2, bands, packed(minima)
+
+
+def minima_of(rows: np.ndarray, grams: np.ndarray, n: int, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(mul), n), np.uint32)
+    if len(rows):
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        x = (grams >> np.uint64(32)).astype(np.uint32)
+        for i in range(len(mul)):
+            out[i, rows[first]] = np.minimum.reduceat(x * mul[i] + add[i], first)
+    return out
+
+
+def packed(minima: np.ndarray) -> np.ndarray:
+    """The low ``BITS`` bits of each minimum, packed into words of 64."""
     per = 64 // BITS
-    sig = np.zeros((n, HASHES // per), np.uint64)
-    for i in range(HASHES):
+    sig = np.zeros((minima.shape[1], len(minima) // per), np.uint64)
+    for i, row in enumerate(minima):
         # the low bits of a product follow the low bits of the shingle alone, so the minima are mixed first
-        low = mix64(minima[i].astype(np.uint64)) & np.uint64(2**BITS - 1)
+        low = mix64(row.astype(np.uint64)) & np.uint64(2**BITS - 1)
         sig[:, i // per] |= low << np.uint64(BITS * (i % per))
-    return size, s1, s2, bands, sig
+    return sig
+
+
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Longer signatures: ``(rep, fine)``."""
+    for batch in batches:
+        data, offsets = utf8(batch.column(1))
+        for a, b in chunks(offsets):
+            part = offsets[a : b + 1]
+            _, _, row, h = words(data[part[0] : part[-1]], part - part[0])
+            rows, grams = shingles(row, h, b - a)
+            sig = packed(minima_of(rows, grams, b - a, _FINE_MUL, _FINE_ADD))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _list_column(sig)], ["rep", "fine"])
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,26 +159,33 @@ def _verifier(num: int, den: int):
     return verify
 
 
-def agreement(x: Column, y: Column) -> Column:
-    """Of two packed signatures, how many of the ``HASHES`` fields agree."""
+def agreement(x: Column, y: Column, hashes: int = HASHES) -> Column:
+    """Of two packed signatures of ``hashes`` fields, how many fields agree."""
     per = 64 // BITS
     low = sum(1 << (BITS * i) for i in range(per))
     low = low - (1 << 64) if low >= 1 << 63 else low
     wrong = None
-    for k in range(HASHES // per):
+    for k in range(hashes // per):
         diff = x[k].bitwiseXOR(y[k])
         any_bit = diff
         for i in range(1, BITS):
             any_bit = any_bit.bitwiseOR(F.shiftrightunsigned(diff, i))
         n = F.bit_count(any_bit.bitwiseAND(F.lit(low)))
         wrong = n if wrong is None else wrong + n
-    return F.lit(HASHES) - wrong
+    return F.lit(hashes) - wrong
 
 
-def similarity(x: Column, y: Column) -> Column:
+def similarity(x: Column, y: Column, hashes: int = HASHES) -> Column:
     """Estimated Jaccard similarity: the share of agreeing fields, less what agrees by chance."""
     chance = 1 / 2**BITS
-    return (agreement(x, y) / F.lit(float(HASHES)) - chance) / (1 - chance)
+    return (agreement(x, y, hashes) / F.lit(float(hashes)) - chance) / (1 - chance)
+
+
+def margin(hashes: int, at: float) -> float:
+    """Five standard errors of the estimate at a true similarity ``at``."""
+    chance = 1 / 2**BITS
+    p = at * (1 - chance) + chance
+    return 5 * (p * (1 - p) / hashes) ** 0.5 / (1 - chance)
 
 
 def near_duplicates(
@@ -161,7 +193,8 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document, ``(doc_id, n_shingles, component_id, kept)``: documents are linked where
     ``den * |A & B| >= num * |A | B|`` over their shingle sets; the component is the smallest id that links reach."""
-    floor = num / den - 0.19  # five standard errors of the estimate
+    floor = num / den - margin(HASHES, num / den)
+    fine_floor = num / den - margin(FINE, num / den)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     kind = "doc_id long, n_shingles long, s1 long, s2 long, bands array<bigint>, sig array<bigint>"
     signed = written(d.mapInArrow(_signed, kind), "signatures")
@@ -213,13 +246,17 @@ def near_duplicates(
         if left is not None and n > 0.7 * left:
             break
         left, rows = n, rest
-    keys = classes.select("rep", "bands")
+    open_reps = open_rows.select("rep").distinct()
+    fine = texts.join(open_reps, texts["doc_id"] == open_reps["rep"], "left_semi").select("doc_id", "text")
+    keys = classes.select("rep", "bands").join(fine.mapInArrow(_fine, "rep long, fine array<bigint>"), "rep")
+    keys = written(keys, "fine")
     x = written(rest.join(keys, "rep"), "rest-left").alias("x")
     y = written(open_rows.select("band", "rep", "sig", "comp").join(keys, "rep"), "rest-right").alias("y")
     shared = F.filter(F.col("x.bands"), lambda k: F.array_contains(F.col("y.bands"), k))
     pairs = x.join(y, F.col("x.band") == F.col("y.band")).where(
         (F.col("x.comp") != F.col("y.comp"))
         & (similarity(F.col("x.sig"), F.col("y.sig")) >= floor)
+        & (similarity(F.col("x.fine"), F.col("y.fine"), FINE) >= fine_floor)
         & (shared[0] == F.col("x.band"))  # a pair counts in the first bucket it shares
     )
     pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
