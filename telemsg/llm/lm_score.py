@@ -2,10 +2,11 @@
 
 Documents are encoded in batches: a batch has its own dictionary of word hashes and its tokens as numbers in it.
 A batch sends each distinct word and each distinct bigram once, with its count in the training documents, to a shard
-chosen by its hash; so a frequent word or word pair is one entry a batch, however often it occurs, and a context
-with many successors is spread over all shards. A shard adds up the counts of all batches, builds its trie - monotone
-pointers, successors relative to their context, probabilities quantised in steps of 0.4 % - maps the levels from a
-file, looks up what the batches asked for and sends the codes back. A batch then scores its documents.
+chosen by the hash of the context; so a frequent word or word pair is one entry a batch, however often it occurs.
+Contexts with a large share of all tokens - at most ``1 / HOT`` words can have it - are spread over all shards by the
+hash of the whole bigram. A shard adds up the counts of all batches, builds its trie - monotone pointers, successors
+relative to their context, probabilities quantised in steps of 0.4 % - maps the levels from a file, looks up what the
+batches asked for and sends the codes back. A batch then scores its documents.
 
 The unigram probability is ``(c + 0.5) / (N + 0.5 (V + 1))``. The bigram one is smoothed towards it with weight
 ``mu / (c(context) + mu)``, the context's count being exact and the bigram's the trie's. The first context of a text is
@@ -42,7 +43,34 @@ WORD_BITS = 40
 STEP = np.log(1.004)
 #: Codes are 16 bits; the largest stands for 1.004 ** 65534 occurrences, beyond any count.
 
-_ENCODED = "batch long, ids array<bigint>, held binary, sizes binary, tokens binary, dict binary, n_train long, n_docs long"
+HOT = 0.0005
+
+_ENCODED = (
+    "batch long, ids array<bigint>, held binary, sizes binary, tokens binary, dict binary, n_train long, n_docs long, n_tokens long, "
+    "frequent array<struct<word:bigint,n:bigint>>"
+)
+_FREQUENT = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
+
+
+def squeeze(a: np.ndarray) -> bytes:
+    """An array's bytes, compressed."""
+    raw = np.ascontiguousarray(a).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def expand(data: bytes, kind) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), kind)
+
+
+def planes(a: np.ndarray) -> np.ndarray:
+    """Numbers below 2^32 with all their first bytes before all their second ones, and so on: high bytes are
+    mostly zero and compress to nothing."""
+    return np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+
+
+def unplanes(a: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(a.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -57,18 +85,31 @@ def _encode(max_bytes: int):
         def flush() -> pa.RecordBatch:
             nonlocal nth, ids, sizes, hashes, size
             stream = np.concatenate(hashes)
-            names, tokens = np.unique(stream, return_inverse=True)
+            names, tokens, n = np.unique(stream, return_inverse=True, return_counts=True)
             held = np.array([held_out(i) for i in ids], np.uint8)
-            counts = np.concatenate(sizes).astype(np.int32)
+            counts = np.concatenate(sizes).astype(np.int64)
+            n_train, n_docs = int(counts[held == 0].sum()), int((held == 0).sum())
+            rank = np.argsort(-n, kind="stable")  # frequent words get small numbers
+            number = np.empty(len(names), np.int64)
+            number[rank] = np.arange(len(names))
+            often = np.flatnonzero(n >= HOT / 2 * len(stream))
             row = {
                 "batch": [(part << 32) + nth],
                 "ids": pa.array([ids], pa.list_(pa.int64())),
-                "held": pa.array([held.tobytes()], pa.binary()),
-                "sizes": pa.array([counts.tobytes()], pa.binary()),
-                "tokens": pa.array([tokens.astype(np.int32).tobytes()], pa.binary()),
-                "dict": pa.array([names.tobytes()], pa.binary()),
-                "n_train": [int(counts[held == 0].sum())],
-                "n_docs": [int((held == 0).sum())],
+                "held": pa.array([squeeze(held)], pa.binary()),
+                "sizes": pa.array([squeeze(planes(counts))], pa.binary()),
+                "tokens": pa.array([squeeze(planes(number[tokens]))], pa.binary()),
+                "dict": pa.array([names[rank].tobytes()], pa.binary()),
+                "n_train": [n_train],
+                "n_docs": [n_docs],
+                "n_tokens": [len(stream)],
+                "frequent": pa.array(
+                    [
+                        [{"word": int(w), "n": int(c)} for w, c in zip(names.view(np.int64)[often], n[often], strict=True)]
+                        + [{"word": int(START.view(np.int64)), "n": len(ids)}]
+                    ],
+                    _FREQUENT,
+                ),
             }
             nth += 1
             ids, sizes, hashes, size = [], [], [], 0
@@ -93,36 +134,51 @@ def _encode(max_bytes: int):
 
 
 class Batch:
-    """One encoded batch, and its distinct bigrams."""
+    """One encoded batch, and its distinct bigrams in the order of the hashes of context and word."""
 
-    def __init__(self, row):
+    def __init__(self, row, hot: np.ndarray):
         self.ids = row["ids"]
-        self.held = np.frombuffer(row["held"], np.uint8).astype(bool)
-        self.sizes = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
-        self.tokens = np.frombuffer(row["tokens"], np.int32).astype(np.int64)
-        self.names = np.frombuffer(row["dict"], np.uint64)
-        self.train = ~np.repeat(self.held, self.sizes)  # by token
+        self.held = expand(row["held"], np.uint8).astype(bool)
+        self.sizes = unplanes(expand(row["sizes"], np.uint8))
         self.first = np.cumsum(self.sizes) - self.sizes
-        u = len(self.names)
+        names = np.r_[np.frombuffer(row["dict"], np.uint64), START]
+        order = np.argsort(names)
+        place = np.empty(len(names), np.int64)
+        place[order] = np.arange(len(names))
+        self.names, self.start = names[order], place[-1]
+        self.tokens = place[unplanes(expand(row["tokens"], np.uint8))]
+        self.train = ~np.repeat(self.held, self.sizes)  # by token
         before = np.empty_like(self.tokens)
         before[1:] = self.tokens[:-1]
-        before[self.first] = u
-        self.before = before
-        self.pairs, self.pair_of = np.unique(before * (u + 1) + self.tokens, return_inverse=True)
-        self.context = np.r_[self.names, START][self.pairs // (u + 1)]
-        self.word = self.names[self.pairs % (u + 1)]
+        before[self.first] = self.start
+        u = len(names)
+        pairs, pair_of = np.unique(before * u + self.tokens, return_inverse=True)
+        self.pair_of = pair_of.astype(np.int32)
+        self.context, self.word = pairs // u, pairs % u
+        at = np.minimum(np.searchsorted(hot, self.names), max(len(hot) - 1, 0))
+        is_hot = hot[at] == self.names if len(hot) else np.zeros(u, bool)
+        self.hot_number = at
+        spread = is_hot[self.context]
+        self.cold, self.hot = np.flatnonzero(~spread), np.flatnonzero(spread)
 
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.tokens[self.train], minlength=len(self.names))
 
     def pair_counts(self) -> np.ndarray:
-        return np.bincount(self.pair_of[self.train], minlength=len(self.pairs))
-
-    def word_shard(self, n: int) -> np.ndarray:
-        return (mix64(self.names) % np.uint64(n)).astype(np.int64)
-
-    def pair_shard(self, n: int) -> np.ndarray:
-        return (mix64(self.context * np.uint64(0x9E3779B97F4A7C15) ^ self.word) % np.uint64(n)).astype(np.int64)
+        return np.bincount(self.pair_of[self.train], minlength=len(self.context))
+
+    def dealt(self, n: int):
+        """For words, bigrams of other contexts and bigrams of hot contexts: their numbers by shard, and the edges."""
+        by_word = (mix64(self.names) % np.uint64(n)).astype(np.int64)
+        c, w = self.names[self.context[self.hot]], self.names[self.word[self.hot]]
+        by_pair = (mix64(c * np.uint64(0x9E3779B97F4A7C15) ^ w) % np.uint64(n)).astype(np.int64)
+        out = []
+        for shard, numbers in (
+            (by_word, np.arange(len(self.names))), (by_word[self.context[self.cold]], self.cold), (by_pair, self.hot),
+        ):
+            order = np.argsort(shard, kind="stable")
+            out.append((numbers[order], np.searchsorted(shard[order], np.arange(n + 1))))
+        return out
 
 
 def short(word: np.ndarray) -> np.ndarray:
@@ -140,37 +196,36 @@ def unpack(data: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-_SENT = "shard int, batch long, names binary, counts binary, contexts binary, runs binary, words binary, pair_counts binary"
+_SENT = (
+    "shard int, batch long, names binary, counts binary, runs binary, words binary, pair_counts binary, "
+    "hot_contexts binary, hot_words binary, hot_counts binary"
+)
+
 
+def _send(n_shards: int, hot: np.ndarray):
+    kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 8
+    names = [x.split()[0] for x in _SENT.split(", ")]
 
-def _send(n_shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for row in rows.to_pylist():
-                b = Batch(row)
+            for i in range(rows.num_rows):
+                row = rows.slice(i, 1).to_pylist()[0]
+                b = Batch(row, hot)
                 counts, pairs = b.word_counts(), b.pair_counts()
-                by_word, by_pair = b.word_shard(n_shards), b.pair_shard(n_shards)
-                word_order = np.argsort(by_word, kind="stable")
-                pair_order = np.argsort(by_pair, kind="stable")
-                word_edge = np.searchsorted(by_word[word_order], np.arange(n_shards + 1))
-                pair_edge = np.searchsorted(by_pair[pair_order], np.arange(n_shards + 1))
+                runs = np.bincount(b.context[b.cold], minlength=len(b.names))
+                (words, we), (cold, ce), (spread, he) = b.dealt(n_shards)
                 out = []
                 for s in range(n_shards):
-                    w = word_order[word_edge[s] : word_edge[s + 1]]
-                    p = pair_order[pair_edge[s] : pair_edge[s + 1]]
-                    if not len(w) and not len(p):
+                    w, c, h = words[we[s] : we[s + 1]], cold[ce[s] : ce[s + 1]], spread[he[s] : he[s + 1]]
+                    if not len(w) and not len(h):
                         continue
-                    c = b.context[p]
-                    new = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) if len(c) else np.empty(0, np.int64)
                     out.append(
                         (
-                            s, row["batch"], b.names[w].tobytes(), counts[w].astype(np.uint32).tobytes(),
-                            c[new].tobytes(), np.diff(np.r_[new, len(c)]).astype(np.uint32).tobytes(),
-                            pack(b.word[p]), pairs[p].astype(np.uint32).tobytes(),
+                            s, row["batch"], b.names[w].tobytes(), squeeze(planes(counts[w])), squeeze(planes(runs[w])),
+                            pack(b.names[b.word[c]]), squeeze(planes(pairs[c])),
+                            squeeze(planes(b.hot_number[b.context[h]])), pack(b.names[b.word[h]]), squeeze(planes(pairs[h])),
                         )
-                    )
-                kinds = [pa.int32(), pa.int64()] + [pa.binary()] * 6
-                names = [x.split()[0] for x in _SENT.split(", ")]
+                    )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(col, k) for col, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names
                 )
@@ -200,18 +255,19 @@ def counts_of(codes: np.ndarray) -> np.ndarray:
     return np.where(codes > 0, np.exp((codes.astype(float) - 1) * STEP), 0.0)
 
 
-_BACK = "batch long, shard int, counts binary, codes binary, n_words long"
+_BACK = "batch long, shard int, counts binary, codes binary, hot_codes binary, n_words long"
 
 
-def _answer(total: int):
+def _answer(total: int, hot: np.ndarray):
     def run(sent: pd.DataFrame) -> pd.DataFrame:
         """One shard: adds up all batches, builds its trie and answers each batch in the order it asked."""
-        joined = lambda column, kind: np.frombuffer(b"".join(sent[column]), kind)
-        names, counts = joined("names", np.uint64), joined("counts", np.uint32).astype(np.int64)
-        (known,), sums = summed([names], counts)
-        context = np.repeat(joined("contexts", np.uint64), joined("runs", np.uint32))
-        word, pair_counts = unpack(b"".join(sent["words"])), joined("pair_counts", np.uint32).astype(np.int64)
-        (c, w), n = summed([context, word], pair_counts)
+        numbers = lambda column: [unplanes(expand(x, np.uint8)) for x in sent[column]]
+        names, counts = np.frombuffer(b"".join(sent["names"]), np.uint64), numbers("counts")
+        cold, spread = numbers("pair_counts"), numbers("hot_counts")
+        (known,), sums = summed([names], np.concatenate(counts))
+        context = np.r_[np.repeat(names, np.concatenate(numbers("runs"))), hot[np.concatenate(numbers("hot_contexts"))]]
+        word = np.r_[unpack(b"".join(sent["words"])), unpack(b"".join(sent["hot_words"]))]
+        (c, w), n = summed([context, word], np.concatenate(cold + spread))
         seen = n > 0
         trie = Trie.build(c[seen], w[seen], quantised(n[seen], total), WORD_BITS)
         fd, path = tempfile.mkstemp(suffix=".trie")
@@ -222,16 +278,16 @@ def _answer(total: int):
         finally:
             os.unlink(path)
         found = sums[np.searchsorted(known, names)]
-        word_edge = np.r_[0, np.cumsum([len(x) // 8 for x in sent["names"]])]
-        pair_edge = np.r_[0, np.cumsum([len(x) // 4 for x in sent["pair_counts"]])]
-        k = len(sent)
+        cut = lambda a, parts: np.split(a, np.cumsum([len(x) for x in parts])[:-1])
+        middle = sum(len(x) for x in cold)
         return pd.DataFrame(
             {
                 "batch": sent["batch"].to_numpy(),
                 "shard": sent["shard"].to_numpy(),
-                "counts": [found[word_edge[i] : word_edge[i + 1]].tobytes() for i in range(k)],
-                "codes": [codes[pair_edge[i] : pair_edge[i + 1]].tobytes() for i in range(k)],
-                "n_words": [int((sums > 0).sum())] + [0] * (k - 1),
+                "counts": [squeeze(x) for x in cut(found, counts)],
+                "codes": [squeeze(x) for x in cut(codes[:middle], cold)],
+                "hot_codes": [squeeze(x) for x in cut(codes[middle:], spread)],
+                "n_words": [int((sums > 0).sum())] + [0] * (len(sent) - 1),
             }
         )
 
@@ -243,26 +299,25 @@ _SCORES = (
 )
 
 
-def _score(n_shards: int, total: int, n_words: int, n_docs: int, mu: float):
+def _score(n_shards: int, hot: np.ndarray, total: int, n_words: int, n_docs: int, mu: float):
     def run(encoded: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for _, row in encoded.iterrows():
-            b = Batch(row)
-            count, code = np.zeros(len(b.names), np.int64), np.zeros(len(b.pairs), np.uint16)
-            by_word, by_pair = b.word_shard(n_shards), b.pair_shard(n_shards)
-            word_order, pair_order = np.argsort(by_word, kind="stable"), np.argsort(by_pair, kind="stable")
-            word_edge = np.searchsorted(by_word[word_order], np.arange(n_shards + 1))
-            pair_edge = np.searchsorted(by_pair[pair_order], np.arange(n_shards + 1))
-            for s, a, c in zip(back["shard"], back["counts"], back["codes"], strict=True):
-                count[word_order[word_edge[s] : word_edge[s + 1]]] = np.frombuffer(a, np.int64)
-                code[pair_order[pair_edge[s] : pair_edge[s + 1]]] = np.frombuffer(c, np.uint16)
+            b = Batch(row, hot)
+            count, code = np.zeros(len(b.names), np.int64), np.zeros(len(b.context), np.uint16)
+            (words, we), (cold, ce), (spread, he) = b.dealt(n_shards)
+            for s, x, y, z in zip(back["shard"], back["counts"], back["codes"], back["hot_codes"], strict=True):
+                count[words[we[s] : we[s + 1]]] = expand(x, np.int64)
+                code[cold[ce[s] : ce[s + 1]]] = expand(y, np.uint16)
+                code[spread[he[s] : he[s + 1]]] = expand(z, np.uint16)
             single = (count + 0.5) / (total + 0.5 * (n_words + 1))
-            u = len(b.names)
-            context = np.r_[count, n_docs][b.pairs // (u + 1)]
-            pair = (counts_of(code) + mu * single[b.pairs % (u + 1)]) / (context + mu)
+            before = count.copy()
+            before[b.start] = n_docs
+            before = before[b.context]
+            pair = np.log10((counts_of(code) + mu * single[b.word]) / (before + mu))
             known = np.add.reduceat((count[b.tokens] > 0).astype(np.int64), b.first)
             base = np.add.reduceat(np.log10(single)[b.tokens], b.first)
-            score = np.add.reduceat(np.log10(pair)[b.pair_of], b.first)
+            score = np.add.reduceat(pair[b.pair_of], b.first)
             rows.append(
                 pd.DataFrame(
                     {
@@ -277,7 +332,7 @@ def _score(n_shards: int, total: int, n_words: int, n_docs: int, mu: float):
 
 
 def lm_score(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mu: float = 16.0, batch_bytes: int = 12 << 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mu: float = 16.0, batch_bytes: int = 6 << 20
 ) -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every document; the model is
     learnt from those whose ``crc32(doc_id as text) % 5`` is not 1. Scores are log10 probabilities of the text."""
@@ -286,9 +341,13 @@ def lm_score(
     encoded = written(d.mapInArrow(_encode(batch_bytes), _ENCODED), "encoded")
     sums = encoded.agg(F.sum("n_train").alias("t"), F.sum("n_docs").alias("d")).first()
     total, n_docs = sums["t"] or 0, sums["d"] or 0
+    frequent = encoded.select(F.explode("frequent").alias("f")).groupBy("f.word").agg(F.sum("f.n").alias("n"))
+    tokens = encoded.agg(F.sum("n_tokens")).first()[0] or 0
+    hot = frequent.where(F.col("n") >= HOT * tokens).select("word").collect()  # at most 1 / HOT words
+    hot = np.sort(np.array([r["word"] for r in hot], np.int64).view(np.uint64))
     width = shuffle_width(spark)
-    sent = encoded.mapInArrow(_send(width), _SENT)
-    back = written(sent.groupBy("shard").applyInPandas(_answer(max(1, total)), _BACK), "answers")
+    sent = encoded.mapInArrow(_send(width, hot), _SENT)
+    back = written(sent.groupBy("shard").applyInPandas(_answer(max(1, total), hot), _BACK), "answers")
     n_words = back.agg(F.sum("n_words")).first()[0] or 0
     scored = encoded.groupBy("batch").cogroup(back.groupBy("batch"))
-    return scored.applyInPandas(_score(width, total, n_words, n_docs, mu), _SCORES)
+    return scored.applyInPandas(_score(width, hot, total, n_words, n_docs, mu), _SCORES)
