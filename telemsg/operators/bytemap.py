@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemsg.operators.codec import parse_position
+from telemsg.operators.decode import field_rows
 
 
 def _binary(hex_text):
@@ -26,7 +27,7 @@ def _binary(hex_text):
 def field_map(df: DataFrame, row_id: str, msg_col: str, decoded_col: str) -> DataFrame:
     """(row_id, field_index, description, raw_position, size, first_byte, last_byte,
     covered_hex, covered_binary, decoded_value, raw_value)."""
-    x = df.select(row_id, msg_col, F.posexplode(decoded_col).alias("field_index", "f"))
+    x = field_rows(df, [row_id, msg_col], decoded_col)
     b, t, _ = parse_position(F.col("f.raw_position"), "0 [0]")
     n, k, _ = parse_position(F.col("f.size"), "1 [0]")
     mixed, plain = (n > 0) & (k > 0), (n == 0) & (k == 0)

@@ -20,41 +20,46 @@ DECODED_FIELD = (
 )
 
 
-def decode_fields(
-    msg: Column,
-    codec: Column,
-    length: Column | None = None,
-    all_hex: Column | None = None,
-    rev: Column | None = None,
-    slim: bool = False,
-) -> Column:
+def decode_fields(msg: Column, codec: Column, slim: bool = False) -> Column:
     """array<DECODED_FIELD> in codec field order, or null when the message is
     null or the codec is missing or broken. Null codec fields (declared but
     absent from the layout) give null elements. With ``slim`` the elements are
-    the values alone (label, whole number or float), enough for typed columns."""
-    length = F.length(msg) if length is None else length
-    all_hex = is_all_hex(msg) if all_hex is None else all_hex
-    rev = reversed_bytes(msg) if rev is None else rev
-    n_bytes = F.shiftright(length, 1)
-    has_linear, has_table = codec["has_linear"], codec["has_table"]
-
-    # pass 1: raw value or error per field, carried next to its field. (An
-    # outer array referenced inside a lambda is re-evaluated per element, so the
-    # result travels inside the array instead.)
-    def extract(f: Column) -> Column:
-        quick = all_hex & f["plan"]["ok"] & (f["plan"]["need"] <= n_bytes)
-        found = F.when(
-            quick,
-            F.struct(
-                fast_raw(msg, rev, n_bytes, f["plan"]).alias("raw"), F.lit(None).cast("string").alias("err")
-            ),
-        ).otherwise(extract_field(msg, length, all_hex, f["b"], f["t"], f["n"], f["k"]))
-        return F.when(f.isNotNull(), F.struct(f.alias("f"), found.alias("x")))
+    the values alone (label, whole number or float), enough for typed columns.
+
+    What is the same for all fields of a message - its length, whether it is hex, its reversed text - is bound once
+    as a lambda variable. As a column it could be moved into the field loop by the optimizer and run for each field.
+    """
+    per_message = F.struct(
+        msg.alias("msg"),
+        F.length(msg).alias("length"),
+        is_all_hex(msg).alias("all_hex"),
+        reversed_bytes(msg).alias("rev"),
+        codec["has_linear"].alias("has_linear"),
+        codec["has_table"].alias("has_table"),
+        codec["fields"].alias("fields"),
+    )
+
+    def per_row(r: Column) -> Column:
+        n_bytes = F.shiftright(r["length"], 1)
+
+        # pass 1: raw value or error per field, carried next to its field
+        def extract(f: Column) -> Column:
+            quick = r["all_hex"] & f["plan"]["ok"] & (f["plan"]["need"] <= n_bytes)
+            found = F.when(
+                quick,
+                F.struct(
+                    fast_raw(r["msg"], r["rev"], n_bytes, f["plan"]).alias("raw"),
+                    F.lit(None).cast("string").alias("err"),
+                ),
+            ).otherwise(extract_field(r["msg"], r["length"], r["all_hex"], f["b"], f["t"], f["n"], f["k"]))
+            return F.when(f.isNotNull(), F.struct(f.alias("f"), found.alias("x")))
 
-    # pass 2: conversion of each raw value, once
-    def convert(y: Column) -> Column:
-        c = convert_field(y["f"], y["x"]["raw"], y["x"]["err"], has_linear, has_table)
-        return F.when(y.isNotNull(), F.struct(y["f"].alias("f"), c.alias("c")))
+        # pass 2: conversion of each raw value, once
+        def convert(y: Column) -> Column:
+            c = convert_field(y["f"], y["x"]["raw"], y["x"]["err"], r["has_linear"], r["has_table"])
+            return F.when(y.isNotNull(), F.struct(y["f"].alias("f"), c.alias("c")))
+
+        return F.transform(F.transform(F.transform(r["fields"], extract), convert), shape)
 
     # pass 3: the shape asked for
     def shape(z: Column) -> Column:
@@ -73,7 +78,7 @@ def decode_fields(
             )
         return F.when(z.isNotNull(), out)
 
-    decoded = F.transform(F.transform(F.transform(codec["fields"], extract), convert), shape)
+    decoded = F.transform(F.array(per_message), per_row)[0]
     return F.when(msg.isNotNull() & codec.isNotNull() & ~F.coalesce(codec["broken"], F.lit(False)), decoded)
 
 
@@ -86,18 +91,18 @@ def decode(
     slim: bool = False,
 ) -> DataFrame:
     """Add ``out_col`` = decoded fields of ``msg_col`` using the codec struct in
-    ``codec_col``; with ``valid_col`` only valid messages are decoded (D13).
-    Message length, hex check and reversed text are computed once per row."""
-    ln, hx, rv = (f"__{out_col}_{x}" for x in ("len", "hex", "rev"))
-    msg = F.col(msg_col)
-    out = decode_fields(msg, F.col(codec_col), F.col(ln), F.col(hx), F.col(rv), slim=slim)
+    ``codec_col``; with ``valid_col`` only valid messages are decoded (D13)."""
+    out = decode_fields(F.col(msg_col), F.col(codec_col), slim=slim)
     if valid_col is not None:
         out = F.when(F.col(valid_col), out)
-    return (
-        df.withColumns({ln: F.length(msg), hx: is_all_hex(msg), rv: reversed_bytes(msg)})
-        .withColumn(out_col, out)
-        .drop(ln, hx, rv)
-    )
+    return df.withColumn(out_col, out)
+
+
+def field_rows(df: DataFrame, keys: list[str], decoded_col: str) -> DataFrame:
+    """One row per decoded field: (keys, field_index, f). The outer explode with a filter after it, as a plain
+    explode makes the optimizer infer a filter on the array below it, which would decode each message once more."""
+    rows = df.select(*keys, F.posexplode_outer(decoded_col).alias("field_index", "f"))
+    return rows.where(F.col("field_index").isNotNull())
 
 
 def decoded_map(decoded: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemsg.operators.codec import align_codec, load_codec
-from telemsg.operators.decode import decode
+from telemsg.operators.decode import decode, field_rows
 from telemsg.operators.flatten import bulk_cast
 from telemsg.operators.quality import counts_by, distinct_values
 from telemsg.operators.timeline import first_n_per_group, forward_fill
@@ -74,7 +74,7 @@ def _decoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every field of every valid message, one row per (event, message, field)."""
-    rows = _decoded_rows(spark, sf_dir).select("event_id", "msg", F.posexplode("decoded").alias("field_index", "f"))
+    rows = field_rows(_decoded_rows(spark, sf_dir), ["event_id", "msg"], "decoded")
     names = ["description", "decoded_value", "raw_position", "size", "msg_type", "raw_value"]
     return rows.select("event_id", "msg", "field_index", *[F.col(f"f.{c}").alias(c) for c in names])
 
