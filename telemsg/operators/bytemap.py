@@ -21,7 +21,9 @@ from telemsg.operators.decode import field_rows
 
 
 def _binary(hex_text):
-    return F.lpad(F.conv(hex_text, 16, 2), F.length(hex_text) * 4, "0")
+    """Four bits a digit, of any length; null where nothing is covered or a character is no hex digit."""
+    bits = F.transform(F.split(hex_text, ""), lambda c: F.lpad(F.conv(c, 16, 2), 4, "0"))
+    return F.when(hex_text.rlike("^[0-9A-Fa-f]+$"), F.array_join(bits, ""))
 
 
 def field_map(df: DataFrame, row_id: str, msg_col: str, decoded_col: str) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from telemsg.functions.convert import convert_field, raw_value_of, value_text
 from telemsg.functions.hexbits import extract_field, fast_raw, is_all_hex, reversed_bytes
 
+EMPTY_MESSAGE = '{"error":"Empty DDT string"}'  # fixed value
+
 DECODED_FIELD = (
     "struct<description:string,decoded_value:string,raw_position:string,size:string,"
     "msg_type:string,msg_id:string,raw_value:bigint>"
@@ -110,20 +112,40 @@ def decoded_map(decoded: Column) -> Column:
     return F.map_from_arrays(F.transform(decoded, lambda x: x["description"]), decoded)
 
 
-def decoded_json(decoded: Column, msg: Column, codec: Column, family: Column, year: Column, msg_code: str) -> Column:
+def decoded_json(
+    decoded: Column,
+    msg: Column,
+    codec: Column,
+    family: Column,
+    year: Column,
+    msg_code: str | Column,
+    on_error: str = "null",
+    on_empty: str = "null",
+) -> Column:
     """The decoded message as one JSON document:
     {code, name, decoded_values: {description: {...}}, vehicle_family, model_year, ddt_type}.
-    Decoded values are JSON strings here (numbers are quoted)."""
-    return F.when(
-        decoded.isNotNull(),
-        F.to_json(
-            F.struct(
-                msg.alias("code"),
-                F.coalesce(codec["layout_name"], F.lit("Unknown")).alias("name"),
-                decoded_map(decoded).alias("decoded_values"),
-                family.alias("vehicle_family"),
-                year.alias("model_year"),
-                F.lit(msg_code).alias("ddt_type"),
-            )
-        ),
+    Decoded values are JSON strings here (numbers are quoted).
+
+    D11: with ``on_error="object"`` a message that cannot be decoded - its layout is missing, or a position in it is
+    no number - gives {error, ddt_type, family, year}; with "null" nothing. D12: with ``on_empty="object"`` a null or
+    empty message gives {"error": "Empty DDT string"}; with "null" nothing."""
+    code = msg_code if isinstance(msg_code, Column) else F.lit(msg_code)
+    document = F.to_json(
+        F.struct(
+            msg.alias("code"),
+            F.coalesce(codec["layout_name"], F.lit("Unknown")).alias("name"),
+            decoded_map(decoded).alias("decoded_values"),
+            family.alias("vehicle_family"),
+            year.alias("model_year"),
+            code.alias("ddt_type"),
+        )
     )
+    out = F.when(decoded.isNotNull(), document)
+    if on_error == "object":
+        problem = F.when(codec.isNull(), F.lit("Structure file not found")).otherwise(F.lit("Invalid position in the structure"))
+        failed = F.struct(problem.alias("error"), code.alias("ddt_type"), family.alias("family"), year.alias("year"))
+        bad = codec.isNull() | F.coalesce(codec["broken"], F.lit(False))
+        out = F.coalesce(out, F.when(msg.isNotNull() & (msg != "") & bad, F.to_json(failed)))
+    if on_empty == "object":
+        out = F.when(msg.isNull() | (msg == ""), F.lit(EMPTY_MESSAGE)).otherwise(out)
+    return out

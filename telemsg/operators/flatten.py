@@ -83,6 +83,16 @@ def columns_by_description(decoded_col: str, descriptions: list[str], prefix: st
     return out
 
 
+def columns_by_position(json_col: str, positions: dict[str, int], prefix: str, nested: bool = True) -> list[Column]:
+    """One text column per description, read from its place in a JSON array of decoded fields (below
+    ``decoded_values`` with ``nested``), named by ``clean_name``; null where the array is shorter."""
+    head = "$.decoded_values" if nested else "$"
+    return [
+        F.get_json_object(json_col, f"{head}[{at}].decoded_value").alias(clean_name(f"{prefix}_{d}"))
+        for d, at in sorted(positions.items())
+    ]
+
+
 def cast_by_patterns(df: DataFrame, patterns: dict[str, str]) -> DataFrame:
     """cast columns by name pattern (exact name, or a trailing ``*`` for a
     prefix; the first matching pattern wins; a leading ``*`` is literal)."""

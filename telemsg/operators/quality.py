@@ -77,3 +77,19 @@ def filter_counts(df: DataFrame, condition: Column, keys: list[str] | None = Non
     ]
     out = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
     return out.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
+
+
+def in_families(df: DataFrame, families: list[str], col: str = "MODEL_CODE") -> DataFrame:
+    """rows of the named families."""
+    return df.filter(F.col(col).isin(list(families)))
+
+
+def with_value(df: DataFrame, *cols: str) -> DataFrame:
+    """rows where all the columns are present."""
+    return df.dropna(subset=list(cols))
+
+
+def by_time(df: DataFrame, order: list[str] | str = "app_timestamp", limit: int | None = None) -> DataFrame:
+    """O1 / O3: rows in time order (a range-partitioned sort); with ``limit`` the first ones only, by a top-n."""
+    out = df.orderBy(*([order] if isinstance(order, str) else order))
+    return out if limit is None else out.limit(limit)

@@ -121,9 +121,17 @@ def length_filter(
 
 
 def good_input_marker(df: DataFrame, alerts: list[str]) -> DataFrame:
-    """goodDiagInput_{a} = "x" when the length check passed, else ""."""
+    """goodDiagInput_{a} = "x" when the length check passed, else ""; "unknown" where there is no check (the
+    alert's flag column is missing or null)."""
     return df.withColumns(
-        {f"goodDiagInput_{a}": F.when(F.col(f"has_valid_length_{a}"), "x").otherwise("") for a in alerts}
+        {
+            f"goodDiagInput_{a}": F.when(F.col(f"has_valid_length_{a}"), "x")
+            .when(~F.col(f"has_valid_length_{a}"), "")
+            .otherwise("unknown")
+            if f"has_valid_length_{a}" in df.columns
+            else F.lit("unknown")
+            for a in alerts
+        }
     )
 
 

@@ -20,11 +20,14 @@ from pyspark.sql import types as T
 
 from telemsg.catalogue import Catalogue
 from telemsg.operators.decode import decode, decoded_json
-from telemsg.operators.flatten import flatten, typed_columns
+from telemsg.operators.flatten import add_dt_if_missing, bulk_cast, flatten, typed_columns
+from telemsg.operators.quality import by_time
 from telemsg.operators.timeline import forward_fill
-from telemsg.operators.validate import add_validity, filter_valid
+from telemsg.operators.union import drop_duplicate_rows, union_by_name
+from telemsg.operators.validate import add_validity, filter_valid, prepare_family
 from telemsg.plans.joins import checked_broadcast
-from telemsg.sources.telemetry import join_vehicle, load_telemetry, vehicle_dimension
+from telemsg.plans.sinks import write_table
+from telemsg.sources.telemetry import join_vehicle, load_telemetry, read_table, vehicle_dimension
 
 CODEC_FIELDS = ["layout_name", "has_linear", "has_table", "broken", "fields"]
 
@@ -132,20 +135,43 @@ def decode_pipeline(
     return decode_messages(attach_family_dimension(df, dim), catalogue, how=how, include_json=include_json)
 
 
-def decode_family(df: DataFrame, family: str, year: int, catalogue: Catalogue, codec: DataFrame,
+def decode_family(df: DataFrame, family: str, year: int, catalogue: Catalogue, dimension: DataFrame,
                   how: str | None = None) -> DataFrame:
     """B1: decode the rows of one (family, year) (rows already joined to vehicles)."""
     one = df.filter((F.col("MODEL_CODE") == family) & (F.col("MODEL_YEAR").try_cast("int") == year))
-    return decode_messages(attach_family_dimension(one, family_dimension(catalogue, codec)), catalogue, how=how)
+    return decode_messages(attach_family_dimension(one, dimension), catalogue, how=how)
 
 
-def decode_all_families(df: DataFrame, catalogue: Catalogue, codec: DataFrame, how: str | None = None) -> DataFrame:
+def decode_all_families(df: DataFrame, catalogue: Catalogue, dimension: DataFrame, how: str | None = None) -> DataFrame:
     """B2: every (family, year) in one plan; the codec join selects each row's rules,
     so there is no loop over families and no union."""
-    return decode_messages(attach_family_dimension(df, family_dimension(catalogue, codec)), catalogue, how=how)
+    return decode_messages(attach_family_dimension(df, dimension), catalogue, how=how)
+
+
+def check_decode_family(df: DataFrame, family: str, year: int, catalogue: Catalogue, dimension: DataFrame,
+                        order: list[str] | str = "app_timestamp") -> DataFrame:
+    """Length check -> decode -> typed columns -> sort, for one (family, year) (rows already joined to vehicles)."""
+    columns = {m.msg: m.column_name for m in catalogue.messages}
+    lengths = catalogue.lengths_df(df.sparkSession)
+    ready = prepare_family(df, family, year, lengths, list(columns), columns)
+    ready = ready.filter(F.col("MODEL_YEAR").try_cast("int") == year)
+    return by_time(decode_messages(attach_family_dimension(ready, dimension), catalogue, how=None), order)
+
+
+def merge_family_tables(frames: list[DataFrame], types: dict[str, str], target: str, ts_col: str = "app_timestamp",
+                        distinct: bool = False) -> DataFrame:
+    """Union of family tables by name -> bulk cast -> ``dt`` if missing -> overwrite ``target``; returns the table
+    as written. A frame given twice is in it twice, unless ``distinct``."""
+    out = union_by_name(frames)
+    if distinct:
+        out = drop_duplicate_rows(out)
+    out = add_dt_if_missing(bulk_cast(out, types), ts_col)
+    write_table(out, target, "overwrite")
+    return read_table(out.sparkSession, target)
 
 
 __all__ = [
+    "check_decode_family", "merge_family_tables", "write_dimension", "codec_of",
     "decode_pipeline", "decode_messages", "decode_family", "decode_all_families",
     "family_dimension", "attach_family_dimension", "typed_columns",
 ]

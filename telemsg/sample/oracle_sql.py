@@ -272,7 +272,7 @@ C1F0_FIELDS = [
     ("Bad Range", "0 [6]", "0 [3]", "I", None),
     ("Backward Zero", "0 [0]", "1 [1]", "L", lambda r: linear_text(r, "CAST(1 AS DOUBLE)", "-40", 0, 0xC8)),
 ]
-WB310_FIELDS = [
+B310_FIELDS = [
     ("SID-PR", "0 [0]", "1 [0]", "-", None),
     ("RecordDataIdentifier", "1 [0]", "2 [0]", "-", None),
 ] + [
@@ -310,7 +310,7 @@ C1F0_TYPED = [  # (description, output column, SQL type) in declared order
     ("Overrun", "C1F0_overrun", "VARCHAR"),
     ("Not In Layout", "C1F0_not_in_layout", "VARCHAR"),
 ]
-WB310_TYPED = [
+B310_TYPED = [
     ("Latest start cause", "B310_latest_start_cause", "VARCHAR"),
     ("Earlier start cause 1", "B310_earlier_start_cause_01", "VARCHAR"),
     ("Earlier start cause 2", "B310_earlier_start_cause_02", "VARCHAR"),
@@ -350,7 +350,7 @@ FFILL_W = "OVER (PARTITION BY vin ORDER BY app_timestamp, event_id ROWS BETWEEN
 
 def full_decode_sql() -> str:
     typed = typed_select("diag_c1f0", C1F0_FIELDS, C1F0_TYPED, "C1F0_is_valid") + typed_select(
-        "diag_B310", WB310_FIELDS, WB310_TYPED, '"B310_is_valid"'
+        "diag_B310", B310_FIELDS, B310_TYPED, '"B310_is_valid"'
     )
     return with_(TEL, VEH, JOINED, LENGTHS, REFLEN, VALIDITY) + f"""
 , filled AS (
@@ -370,7 +370,7 @@ FROM filled WHERE C1F0_is_valid AND "B310_is_valid"
 def decode_message_sql() -> str:
     selects = []
     for msg, m, fields, valid in (("C1F0", "diag_c1f0", C1F0_FIELDS, "C1F0_is_valid"),
-                                  ("B310", "diag_B310", WB310_FIELDS, '"B310_is_valid"')):
+                                  ("B310", "diag_B310", B310_FIELDS, '"B310_is_valid"')):
         for idx, (desc, pos, size, typ, conv) in enumerate(fields):
             value, raw_value = field_sql(m, pos, size, typ, conv)
             # 'Reserved' keeps the position of its first entry (index 2) but the last entry's rule

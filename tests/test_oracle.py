@@ -41,7 +41,6 @@ def _rows(pdf, cols):
 def test_queries_match_oracle(spark):
     duckdb = pytest.importorskip("duckdb")
     import __spark_entry__ as E
-    from telemsg.plans.registered import QUERIES
 
     con = duckdb.connect()
     for t in TABLES.split():
@@ -50,7 +49,7 @@ def test_queries_match_oracle(spark):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     sql = E.oracle_sql()
     failures = []
-    for name, fn in QUERIES.items():
+    for name, fn in E.QUERIES.items():
         assert name in sql, f"{name} has no oracle SQL"
         pdf = fn(spark, SF).toPandas()
         ddf = con.execute(sql[name]).df()
