@@ -12,6 +12,7 @@ import warnings
 from dataclasses import dataclass, field
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -28,6 +29,15 @@ TYPE_NAMES = {
 }
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Configuration rows as a local relation: it goes by Arrow, so the planner knows its size (a list of tuples
+    would become an RDD of unknown size, which is never broadcast)."""
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}
+    names = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return spark.createDataFrame(pa.table({n: pa.array(c, kinds[k]) for (n, k), c in zip(names, columns, strict=True)}))
+
+
 @dataclass(frozen=True)
 class OutputColumn:
     description: str  # field description in the layout
@@ -80,7 +90,7 @@ class Catalogue:
         """(family, year, msg, length): one row per configured version."""
         rows = [(fam, year, m.msg, n) for m in self.messages for fam, year, n in m.lengths]
         schema = "family string, year int, msg string, length int"
-        return spark.createDataFrame(rows, schema)
+        return local_rows(spark, rows, schema)
 
     def output_columns_df(self, spark: SparkSession) -> DataFrame:
         """(msg, idx, description, type_name, column): the declared output columns."""
@@ -90,7 +100,7 @@ class Catalogue:
             for i, c in enumerate(m.columns)
         ]
         schema = "msg string, idx int, description string, type_name string, column string"
-        return spark.createDataFrame(rows, schema)
+        return local_rows(spark, rows, schema)
 
 
 def _pairs_hook(dups: list[str]):

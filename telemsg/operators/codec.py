@@ -233,14 +233,15 @@ def load_codec(spark, root: str, catalogue=None, declared_only: bool = False) ->
     """Read layouts and conversion tables under ``root`` and build the codec.
     With a catalogue, only its (family, year) combinations are kept, and with
     ``declared_only`` only the fields its output columns name."""
+    from telemsg.catalogue import local_rows
     from telemsg.sources.conversions import read_layouts, read_linear, read_table
 
     fy = None
     descs = None
     layouts = read_layouts(spark, root)
     if catalogue is not None:
-        fy = spark.createDataFrame(catalogue.family_years(), "family string, year int")
-        ecus = spark.createDataFrame([(m.msg, m.ecu) for m in catalogue.messages], "msg string, ecu string")
+        fy = local_rows(spark, catalogue.family_years(), "family string, year int")
+        ecus = local_rows(spark, [(m.msg, m.ecu) for m in catalogue.messages], "msg string, ecu string")
         layouts = layouts.join(ecus, ["msg", "ecu"], "left_semi")
         if declared_only:
             descs = catalogue.output_columns_df(spark).select("msg", "description")

@@ -7,6 +7,7 @@ import pytest
 from helpers import codec_from_rows
 from pyspark.sql import functions as F
 
+from telemsg.catalogue import local_rows
 from telemsg.operators.bytemap import byte_map, field_map
 from telemsg.operators.codec import build_codec
 from telemsg.operators.decode import decode, decoded_json
@@ -150,6 +151,6 @@ def test_wide_side_is_shuffled_once(spark):
 
 
 def test_broadcast_goes_by_planned_bytes(spark):
-    small = spark.createDataFrame([(1,)], "k int")
+    small = local_rows(spark, [(1,)], "k int")
     hinted = lambda d: "Hint" in d._jdf.queryExecution().logical().toString()
     assert hinted(checked_broadcast(small)) and not hinted(checked_broadcast(small, 1))
