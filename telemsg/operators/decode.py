@@ -1,8 +1,8 @@
 """Message decode (D2-D13) as native Spark expressions.
 
 ``decode_fields`` maps a message and its codec row to an array of decoded field
-structs with three ``F.transform`` passes (extract, convert, shape), so each
-field's raw value and conversion are computed once. No explode, no shuffle, no Python: the per-row work
+structs with one ``F.transform``, in which each field's raw value and conversion
+are computed once. No explode, no shuffle, no Python: the per-row work
 stays in the JVM, and the codec arrives by a broadcast join.
 """
 
@@ -22,6 +22,11 @@ DECODED_FIELD = (
 )
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, as a lambda variable."""
+    return F.transform(F.array(value), body)[0]
+
+
 def decode_fields(msg: Column, codec: Column, slim: bool = False) -> Column:
     """array<DECODED_FIELD> in codec field order, or null when the message is
     null or the codec is missing or broken. Null codec fields (declared but
@@ -44,32 +49,20 @@ def decode_fields(msg: Column, codec: Column, slim: bool = False) -> Column:
     def per_row(r: Column) -> Column:
         n_bytes = F.shiftright(r["length"], 1)
 
-        # pass 1: raw value or error per field, carried next to its field
         def extract(f: Column) -> Column:
             quick = r["all_hex"] & f["plan"]["ok"] & (f["plan"]["need"] <= n_bytes)
-            found = F.when(
+            return F.when(
                 quick,
                 F.struct(
                     fast_raw(r["msg"], r["rev"], n_bytes, f["plan"]).alias("raw"),
                     F.lit(None).cast("string").alias("err"),
                 ),
             ).otherwise(extract_field(r["msg"], r["length"], r["all_hex"], f["b"], f["t"], f["n"], f["k"]))
-            return F.when(f.isNotNull(), F.struct(f.alias("f"), found.alias("x")))
-
-        # pass 2: conversion of each raw value, once
-        def convert(y: Column) -> Column:
-            c = convert_field(y["f"], y["x"]["raw"], y["x"]["err"], r["has_linear"], r["has_table"])
-            return F.when(y.isNotNull(), F.struct(y["f"].alias("f"), c.alias("c")))
-
-        return F.transform(F.transform(F.transform(r["fields"], extract), convert), shape)
-
-    # pass 3: the shape asked for
-    def shape(z: Column) -> Column:
-        f, c = z["f"], z["c"]
-        if slim:
-            out = c["value"]
-        else:
-            out = F.struct(
+
+        def shape(f: Column, c: Column) -> Column:
+            if slim:
+                return c["value"]
+            return F.struct(
                 f["description"].alias("description"),
                 value_text(c["value"]).alias("decoded_value"),
                 f["raw_position"].alias("raw_position"),
@@ -78,9 +71,18 @@ def decode_fields(msg: Column, codec: Column, slim: bool = False) -> Column:
                 f["id"].alias("msg_id"),
                 raw_value_of(f, c).alias("raw_value"),
             )
-        return F.when(z.isNotNull(), out)
 
-    decoded = F.transform(F.array(per_message), per_row)[0]
+        # raw value and conversion are bound in turn; the field itself is never carried, as results are copied
+        def per_field(f: Column) -> Column:
+            def converted(x: Column) -> Column:
+                c = convert_field(f, x["raw"], x["err"], r["has_linear"], r["has_table"])
+                return bound(c, lambda c: shape(f, c))
+
+            return F.when(f.isNotNull(), bound(extract(f), converted))
+
+        return F.transform(r["fields"], per_field)
+
+    decoded = bound(per_message, per_row)
     return F.when(msg.isNotNull() & codec.isNotNull() & ~F.coalesce(codec["broken"], F.lit(False)), decoded)
 
 
