@@ -96,28 +96,32 @@ def table_value(raw: Column, labels: Column, name: Column) -> Column:
     return F.coalesce(labels[raw], fallback)
 
 
-def convert_field(f: Column, raw: Column, err: Column, has_linear: Column, has_table: Column) -> Column:
-    """struct<value: VALUE, raw_value: bigint> for one field."""
-    is_l = f["type"] == "L"
-    is_t = f["type"] == "T"
+def error_value(err: Column) -> Column:
+    """Value of a field that could not be read."""
+    return value_of(F.concat(F.lit("Error: "), err))
+
+
+def convert_field(f: Column, raw: Column, has_linear: Column, has_table: Column) -> Column:
+    """VALUE of one field whose raw value (not null) was read."""
     has_id = f["id"].isNotNull()
     bad_id = F.format_string(BAD_INT_ID, f["id"])
     plain = value_of(whole=raw)
-    value = (
-        F.when(err.isNotNull(), value_of(F.concat(F.lit("Error: "), err)))
-        .when(is_l, F.when(has_id & has_linear & f["id_int"].isNull(), value_of(F.concat(F.lit("Conv Error: "), bad_id)))
-              .when(has_id & has_linear & f["lin"].isNotNull(), linear_value(raw, f["lin"]))
-              .otherwise(plain))
-        .when(is_t, value_of(
-            F.when(has_id & has_table & f["id_int"].isNull(), F.format_string("0x%X (Conv Error: %s)", raw, bad_id))
-            .when(has_id & has_table, table_value(raw, f["labels"], f["name"]))
-            .otherwise(F.format_string("0x%X", raw))))
+    linear = (
+        F.when(f["lin"].isNotNull() & has_linear, linear_value(raw, f["lin"]))
+        .when(has_id & has_linear & f["id_int"].isNull(), value_of(F.concat(F.lit("Conv Error: "), bad_id)))
         .otherwise(plain)
-    )
-    return F.struct(value.alias("value"), F.when(err.isNull() & has_id & ((is_l & has_linear) | is_t), raw).alias("raw"))
+    )
+    table = (
+        F.when(has_id & has_table & f["id_int"].isNull(), F.format_string("0x%X (Conv Error: %s)", raw, bad_id))
+        .when(has_id & has_table, table_value(raw, f["labels"], f["name"]))
+        .otherwise(F.format_string("0x%X", raw))
+    )
+    return F.when(f["type"] == "L", linear).when(f["type"] == "T", value_of(table)).otherwise(plain)
 
 
-def raw_value_of(f: Column, c: Column) -> Column:
-    """The raw value shown beside a decoded one: none for a table label that begins with ``Error``."""
-    hidden = (f["type"] == "T") & F.coalesce(c["value"]["text"].startswith("Error"), F.lit(False))
-    return F.when(~hidden, c["raw"])
+def raw_value_of(f: Column, raw: Column, value: Column, has_linear: Column) -> Column:
+    """The raw value shown beside a decoded one: of linear fields with a linear file and of table fields, both with an
+    id; none for a table label that begins with ``Error``."""
+    is_t = f["type"] == "T"
+    hidden = is_t & F.coalesce(value["text"].startswith("Error"), F.lit(False))
+    return F.when(f["id"].isNotNull() & (((f["type"] == "L") & has_linear) | is_t) & ~hidden, raw)

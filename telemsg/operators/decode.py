@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemsg.functions.convert import convert_field, raw_value_of, value_text
+from telemsg.functions.convert import convert_field, error_value, raw_value_of, value_text
 from telemsg.functions.hexbits import extract_field, fast_raw, is_all_hex, reversed_bytes
 
 EMPTY_MESSAGE = '{"error":"Empty DDT string"}'  # fixed value
@@ -49,36 +49,30 @@ def decode_fields(msg: Column, codec: Column, slim: bool = False) -> Column:
     def per_row(r: Column) -> Column:
         n_bytes = F.shiftright(r["length"], 1)
 
-        def extract(f: Column) -> Column:
-            quick = r["all_hex"] & f["plan"]["ok"] & (f["plan"]["need"] <= n_bytes)
-            return F.when(
-                quick,
-                F.struct(
-                    fast_raw(r["msg"], r["rev"], n_bytes, f["plan"]).alias("raw"),
-                    F.lit(None).cast("string").alias("err"),
-                ),
-            ).otherwise(extract_field(r["msg"], r["length"], r["all_hex"], f["b"], f["t"], f["n"], f["k"]))
-
-        def shape(f: Column, c: Column) -> Column:
-            if slim:
-                return c["value"]
+        def shape(f: Column, raw: Column, value: Column) -> Column:
             return F.struct(
                 f["description"].alias("description"),
-                value_text(c["value"]).alias("decoded_value"),
+                value_text(value).alias("decoded_value"),
                 f["raw_position"].alias("raw_position"),
                 f["size"].alias("size"),
                 f["type"].alias("msg_type"),
                 f["id"].alias("msg_id"),
-                raw_value_of(f, c).alias("raw_value"),
+                raw_value_of(f, raw, value, r["has_linear"]).alias("raw_value"),
             )
 
         # raw value and conversion are bound in turn; the field itself is never carried, as results are copied
         def per_field(f: Column) -> Column:
-            def converted(x: Column) -> Column:
-                c = convert_field(f, x["raw"], x["err"], r["has_linear"], r["has_table"])
-                return bound(c, lambda c: shape(f, c))
+            full = extract_field(r["msg"], r["length"], r["all_hex"], f["b"], f["t"], f["n"], f["k"])
+            quick = r["all_hex"] & f["plan"]["ok"] & (f["plan"]["need"] <= n_bytes)
+            raw = F.when(quick, fast_raw(r["msg"], r["rev"], n_bytes, f["plan"])).otherwise(full["raw"])
+
+            def converted(raw: Column) -> Column:
+                value = F.when(raw.isNotNull(), convert_field(f, raw, r["has_linear"], r["has_table"])).otherwise(
+                    error_value(full["err"])
+                )
+                return value if slim else bound(value, lambda v: shape(f, raw, v))
 
-            return F.when(f.isNotNull(), bound(extract(f), converted))
+            return F.when(f.isNotNull(), bound(raw, converted))
 
         return F.transform(r["fields"], per_field)
 
