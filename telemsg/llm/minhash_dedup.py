@@ -159,26 +159,30 @@ def _verifier(num: int, den: int):
     return verify
 
 
-def agreement(x: Column, y: Column, hashes: int = HASHES) -> Column:
-    """Of two packed signatures of ``hashes`` fields, how many fields agree."""
+def agreement(x: list[Column], y: list[Column]) -> Column:
+    """Of two packed signatures, given by their words, how many fields agree."""
     per = 64 // BITS
     low = sum(1 << (BITS * i) for i in range(per))
     low = low - (1 << 64) if low >= 1 << 63 else low
     wrong = None
-    for k in range(hashes // per):
-        diff = x[k].bitwiseXOR(y[k])
+    for a, b in zip(x, y, strict=True):
+        diff = a.bitwiseXOR(b)
         any_bit = diff
         for i in range(1, BITS):
             any_bit = any_bit.bitwiseOR(F.shiftrightunsigned(diff, i))
         n = F.bit_count(any_bit.bitwiseAND(F.lit(low)))
         wrong = n if wrong is None else wrong + n
-    return F.lit(hashes) - wrong
+    return F.lit(len(x) * per) - wrong
 
 
-def similarity(x: Column, y: Column, hashes: int = HASHES) -> Column:
+def words_of_signature(column: str, hashes: int = HASHES) -> list[Column]:
+    return [F.col(column)[k] for k in range(hashes * BITS // 64)]
+
+
+def similarity(x: list[Column], y: list[Column]) -> Column:
     """Estimated Jaccard similarity: the share of agreeing fields, less what agrees by chance."""
     chance = 1 / 2**BITS
-    return (agreement(x, y, hashes) / F.lit(float(hashes)) - chance) / (1 - chance)
+    return (agreement(x, y) / F.lit(len(x) * 64.0 / BITS) - chance) / (1 - chance)
 
 
 def margin(hashes: int, at: float) -> float:
@@ -228,7 +232,7 @@ def near_duplicates(
     links, left = None, None
     for k in range(12):
         star = starred(rows).where("rep <> f.rep and comp <> f.comp")
-        pairs = star.where(similarity(F.col("sig"), F.col("f.sig")) >= floor)
+        pairs = star.where(similarity(words_of_signature("sig"), words_of_signature("f.sig")) >= floor)
         new = confirmed(pairs.select(F.col("f.rep").alias("a"), F.col("rep").alias("b")), f"star-{k}")
         links = new if links is None else written(links.union(new), f"links-{k}")
         comp = written(components(links, f"star-{k}-comp"), f"star-{k}-labels")
@@ -250,13 +254,17 @@ def near_duplicates(
     fine = texts.join(open_reps, texts["doc_id"] == open_reps["rep"], "left_semi").select("doc_id", "text")
     keys = classes.select("rep", "bands").join(fine.mapInArrow(_fine, "rep long, fine array<bigint>"), "rep")
     keys = written(keys, "fine")
-    x = written(rest.join(keys, "rep"), "rest-left").alias("x")
-    y = written(open_rows.select("band", "rep", "sig", "comp").join(keys, "rep"), "rest-right").alias("y")
+    # the short signature's words as columns: most pairs are told apart by them alone
+    q = [f"q{k}" for k in range(HASHES * BITS // 64)]
+    words_ = dict(zip(q, words_of_signature("sig"), strict=True))
+    x = written(rest.join(keys, "rep").withColumns(words_).drop("sig"), "rest-left").alias("x")
+    y = written(open_rows.drop("lo", "hi").join(keys, "rep").withColumns(words_).drop("sig"), "rest-right").alias("y")
+    short_x, short_y = ([F.col(f"{side}.{c}") for c in q] for side in "xy")
     shared = F.filter(F.col("x.bands"), lambda k: F.array_contains(F.col("y.bands"), k))
     pairs = x.join(y, F.col("x.band") == F.col("y.band")).where(
         (F.col("x.comp") != F.col("y.comp"))
-        & (similarity(F.col("x.sig"), F.col("y.sig")) >= floor)
-        & (similarity(F.col("x.fine"), F.col("y.fine"), FINE) >= fine_floor)
+        & (similarity(short_x, short_y) >= floor)
+        & (similarity(words_of_signature("x.fine", FINE), words_of_signature("y.fine", FINE)) >= fine_floor)
         & (shared[0] == F.col("x.band"))  # a pair counts in the first bucket it shares
     )
     pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
