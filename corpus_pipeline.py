@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemsg.llm.common import table, written
-from telemsg.llm.decontaminate import contaminated
+from telemsg.llm.decontaminate import leaks, without_leaks
 from telemsg.llm.line_dedup import line_dedup
 from telemsg.llm.minhash_dedup import near_duplicates
 from telemsg.llm.mixing import mix
@@ -38,9 +38,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    leaky = written(contaminated(docs, table(spark, sf_dir, "benchmark")), "leaky-ids")
-    return docs.join(leaky, "doc_id", "left_anti").select(docs.columns)
+    """Documents without a benchmark passage. A row is known by its id, null or not, and its text."""
+    found = leaks(docs, table(spark, sf_dir, "benchmark"), keyed=True).select("doc_id", "text_key").distinct()
+    return without_leaks(docs, written(found, "leaky-rows")).select(docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,9 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_or_empty
 from .textbytes import IS_SPACE, chunks, utf8
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -212,7 +213,8 @@ def find_leaks(index: ItemIndex, points: np.ndarray, edges: np.ndarray):
     return found
 
 
-def _scan(items: list[tuple[int | None, str]], q: int, share: float):
+def _scan(items: list[tuple[int | None, str]], q: int, share: float, keyed: bool = False):
+    schema = _SCHEMA.append(pa.field("text_key", pa.int64())) if keyed else _SCHEMA
     cache: list[ItemIndex] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +224,7 @@ def _scan(items: list[tuple[int | None, str]], q: int, share: float):
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             ids = batch.column(0).to_pylist()
+            keys = [(k,) for k in batch.column(2).to_pylist()] if keyed else [()] * len(ids)
             rows = []
             for a, b in chunks(offsets, 1 << 20):
                 part = offsets[a : b + 1]
@@ -229,15 +232,20 @@ def _scan(items: list[tuple[int | None, str]], q: int, share: float):
                 points, at, edges = normal(raw, raw_edges)
                 for row, i, x, y, edits in find_leaks(index, points, edges):
                     start, end = int(at[x] - raw_edges[row]), int(at[y - 1] + 1 - raw_edges[row])
-                    rows.append((ids[a + row], index.ids[i], start, end, edits, index.k[i]))
+                    rows.append((ids[a + row], index.ids[i], start, end, edits, index.k[i], *keys[a + row]))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)], schema=_SCHEMA
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
                 )
 
     return run
 
 
+def text_key(text: str | Column) -> Column:
+    """Tells rows apart that share an id or have none."""
+    return F.xxhash64(text_or_empty(text))
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -248,9 +256,11 @@ def leaks(
     q: int = 8,
     share: float = 0.1,
     block_chars: int = 1 << 20,
+    keyed: bool = False,
 ) -> DataFrame:
     """``(doc_id, item_id, start, end, edits, budget)``: places (code points, end exclusive) where a whole benchmark
-    item occurs with at most ``share`` of its characters edited."""
+    item occurs with at most ``share`` of its characters edited. With ``keyed``, also ``text_key``: see
+    :func:`text_key`."""
     items = (
         benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t"))
         .where(F.length("t") >= q)
@@ -259,10 +269,13 @@ def leaks(
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     n = max(1, -(-total // block_chars))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    if keyed:
+        d = d.withColumn("text_key", text_key("text"))
+    kind = f"{KIND}, text_key long" if keyed else KIND
     out = None
     for k in range(n):
         block = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()
-        part = d.mapInArrow(_scan([(r["i"], r["t"]) for r in block], q, share), KIND)
+        part = d.mapInArrow(_scan([(r["i"], r["t"]) for r in block], q, share, keyed), kind)
         out = part if out is None else out.union(part)
     return out
 
@@ -270,3 +283,10 @@ def leaks(
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """Ids of documents with a leak, each once."""
     return leaks(docs, benchmark, id_col, **how).select(F.col("doc_id").alias(id_col)).distinct()
+
+
+def without_leaks(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose id and text are in ``found``, the keyed leaks; null ids are ordinary ids."""
+    gone = found.select(F.col("doc_id").alias("__dc_id"), F.col("text_key").alias("__dc_t"))
+    same = docs[id_col].cast("long").eqNullSafe(gone["__dc_id"]) & (text_key(docs[text_col]) == gone["__dc_t"])
+    return docs.join(gone, same, "left_anti")
