@@ -1,5 +1,6 @@
 import hashlib
 import random
+import string
 
 from telemsg.llm.secret_scan import all_spans, base_spans, seeded_strings, secret_scan, train
 
@@ -40,3 +41,27 @@ def test_rows(spark):
     r = secret_scan(one).first()
     assert r.spans == "assign:2:19,access:21:41" and (r.n_assign, r.n_access, r.n_hex) == (1, 1, 0)
     assert r.base_sha256 == hashlib.sha256(r.spans.encode()).hexdigest()
+
+
+def test_every_uncovered_token_is_judged(spark):
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, sentence(rng, 300)) for i in range(20)], "doc_id long, text string")
+    model = train(docs)
+
+    def found(text):
+        return [text[a:b] for k, a, b in all_spans(text, model, 0.7) if k == "markov"]
+
+    fresh = seeded_strings(400, seed=98)  # all of them, and pieces of them too short for the old gate
+    assert sum(bool(found(f"see {s} here")) or bool(base_spans(s)) for s in fresh) / len(fresh) > 0.97
+    assert sum(bool(found(f"see {s[:12]} here")) for s in fresh) / len(fresh) > 0.93
+    lower, upper = string.ascii_lowercase, string.ascii_letters
+    for letters in (lower, upper):
+        strings = ["".join(rng.choices(letters, k=24)) for _ in range(200)]
+        assert sum(found(f"see {s} here") == [s] for s in strings) / 200 > 0.95
+    hidden = ["".join(rng.choices(upper + string.digits, k=20)) for _ in range(200)]
+    path = "/".join(sentence(rng, 30).split())
+    assert sum(found(f"/{path}/{s}/{path}") == [s] for s in hidden) / 200 > 0.95
+    assert sum(found(f"AKIA{'A' * 16}_{s}") == [s] for s in hidden) / 200 > 0.95
+    assert sum(len(found(f"{s}/{path}/{s}==")) == 2 for s in hidden) / 200 > 0.95
+    plain = [w for i in range(20) for w in sentence(rng, 300).split() if len(w) >= 8]
+    assert sum(bool(found(w)) for w in plain) / len(plain) < 0.001 and found(f"/{path}") == []
