@@ -31,10 +31,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (similarity 0.8 on five-word shingles): that with the smallest
-    id. Rows without an id stay."""
-    gone = near_duplicates(docs, num=80).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near-duplicates (similarity 0.8 on five-word shingles): that with the smallest id, by
+    a hash of the text among equal ids. Rows are told apart by a number each, written with them, so ids may be shared;
+    a row without an id stays only where no row of its group has one. Rows without words stay."""
+    numbered = docs.withColumns({"__nd_row": F.monotonically_increasing_id(), "__nd_text": F.xxhash64("text")})
+    rows = written(numbered, "numbered")
+    found = written(near_duplicates(rows, "__nd_row", num=80).withColumnRenamed("doc_id", "row"), "components")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__nd_text", "row")
+    named = found.join(rows.select(F.col("__nd_row").alias("row"), "doc_id", "__nd_text"), "row")
+    first = named.groupBy("component_id").agg(F.min(order).alias("x")).select("x.row")
+    gone = found.join(first, "row", "left_anti").select("row")
+    return rows.join(gone, rows["__nd_row"] == gone["row"], "left_anti").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
