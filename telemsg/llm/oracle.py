@@ -128,7 +128,58 @@ SELECT page_id, n::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
   CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to FROM g"""
 
+_FINITE = "len(list_filter({0}, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def lloyd_ctes(rounds: int, width: int) -> str:
+    """CTEs ``a0 .. a{rounds}`` (id, p, m = distance * 256 + entry) and the codebooks ``b0 .. b{rounds}`` (p, e, v, n),
+    from ``x(vec_id, p, v, n)`` and ``b0``; ``n`` is a vector's squared length."""
+    out = []
+    for i in range(rounds + 1):
+        out.append(
+            f"a{i} AS MATERIALIZED (SELECT x.vec_id, x.p, "
+            f"min((x.n + b.n - 2 * list_inner_product(x.v, b.v))::BIGINT * 256 + b.e) AS m "
+            f"FROM x JOIN b{i} b ON x.p = b.p GROUP BY ALL)"
+        )
+        if i < rounds:
+            out.append(
+                f"s{i} AS MATERIALIZED (SELECT p, e, list(c ORDER BY j) AS v FROM (SELECT x.p, a.m % 256 AS e, j, "
+                f"floor(sum(x.v[j]) / count(*)) AS c FROM a{i} a JOIN x USING (vec_id, p), range(1, {width} + 1) r(j) "
+                f"GROUP BY ALL) GROUP BY p, e)"
+            )
+            out.append(
+                f"b{i + 1} AS MATERIALIZED (SELECT p, e, v, list_inner_product(v, v) AS n FROM "
+                f"(SELECT b.p, b.e, coalesce(s.v, b.v) AS v FROM b{i} b LEFT JOIN s{i} s ON b.p = s.p AND b.e = s.e))"
+            )
+    return ",\n".join(out)
+
+
+OP11 = f"""WITH kept AS MATERIALIZED (SELECT vec_id, label,
+  list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings WHERE {_FINITE.format("embedding")}),
+x AS MATERIALIZED (SELECT *, list_inner_product(v, v) AS n FROM
+  (SELECT vec_id, label, p, v[1 + 16 * p : 16 * (p + 1)] AS v FROM kept, range(4) r(p))),
+b0 AS MATERIALIZED (SELECT p, e, v, n FROM x
+  JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < 256) USING (vec_id)),
+{lloyd_ctes(4, 16)},
+r AS (SELECT vec_id, string_agg(printf('%02x', m % 256), '' ORDER BY p) AS code, sum(m // 256)::BIGINT AS error
+  FROM a4 GROUP BY vec_id),
+d AS (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda c: c::BIGINT), ','), ',' ORDER BY p, e)) AS h FROM b4)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM r JOIN kept USING (vec_id), d"""
+
+OP12 = f"""WITH x AS MATERIALIZED (SELECT *, list_inner_product(v, v) AS n FROM (SELECT vec_id, 0 AS p,
+  list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND {_FINITE.format("embedding")})),
+b0 AS MATERIALIZED (SELECT p, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS e, v, n FROM x QUALIFY e < 16),
+{lloyd_ctes(3, 64)}
+SELECT vec_id, (m % 256)::INTEGER AS cluster, m // 256 AS distance,
+  (sum(m // 256) OVER (PARTITION BY m % 256))::BIGINT AS cluster_inertia, (sum(m // 256) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(b.v, lambda c: c::BIGINT), ',')) AS centroid_sha256
+FROM a3 JOIN b3 b ON b.e = m % 256"""
+
 ORACLE_SQL = {
+    "op11_vector_codes": OP11,
+    "op12_centroids": OP12,
     "op8_warc_round_trip": OP8,
     "op1_line_dedup": OP1,
     "op3_quality_rules": OP3,

@@ -80,6 +80,25 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source", "source_size", "target", "taken")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import code_report
+
+    out = code_report(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .centroids import cluster_report
+
+    return cluster_report(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -93,5 +112,8 @@ QUERIES = {
         op8_warc_round_trip,
         op9_decontaminate,
         op10_mix_sources,
+        op11_vector_codes,
+        op12_centroids,
+        op13_toxicity,
     )
 }

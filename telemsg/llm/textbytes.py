@@ -62,6 +62,15 @@ def chunks(offsets: np.ndarray, max_bytes: int = 2 << 20) -> Iterator[tuple[int,
         at = min(to, n)
 
 
+def running_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(running, inverse)``: the bytes from a to b hash to ``mix64((running[b] - running[a]) * inverse[a])``."""
+    power, inverse = _powers(len(data))
+    running = np.empty(len(data) + 1, dtype=np.uint64)
+    running[0] = 0
+    np.cumsum(_VALUE[data] * power, dtype=np.uint64, out=running[1:])
+    return running, inverse
+
+
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     """``(start, end, row, hash)`` of every word, in order. With ``lower``, A-Z count as a-z."""
     n = len(data)
@@ -78,10 +87,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     ends = solid.copy()
     ends[:-1] &= ~solid[1:] | edge[1:n]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    power, inverse = _powers(n)
-    running = np.empty(n + 1, dtype=np.uint64)
-    running[0] = 0
-    np.cumsum(_VALUE[data] * power, dtype=np.uint64, out=running[1:])
+    running, inverse = running_hashes(data)
     h = mix64((running[end] - running[start]) * inverse[start])
     return start, end, np.searchsorted(offsets, start, side="right") - 1, h
 

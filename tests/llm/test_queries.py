@@ -20,7 +20,7 @@ def test_queries_match_sql(spark):
     from telemsg.llm.queries import QUERIES
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     for name, sql in ORACLE_SQL.items():
         got, want = QUERIES[name](spark, SF).toPandas(), con.execute(sql).df()
