@@ -44,7 +44,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables made by ``written`` that no later plan reads."""
+    for t in tables:
+        if t is not None:
+            jvm = t.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(t.written_to)
+            path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path.getParent(), True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -25,8 +25,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         linked = large.join(low, "u")
-        e = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).union(linked.select("u", F.col("m").alias("v")))
-        e = written(e.where("u <> v").distinct(), f"{name}-{k}")
+        moved = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).union(linked.select("u", F.col("m").alias("v")))
+        last, e = e, written(moved.where("u <> v").distinct(), f"{name}-{k}")
+        discard(last)
         now = tuple(
             e.agg(
                 F.count("*"),

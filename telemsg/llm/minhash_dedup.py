@@ -3,15 +3,21 @@
 1. Signatures: the set of a document's five-word shingles gives 128 minima. Runs of five minima hash to 24 band
    keys; of every minimum only the ``BITS`` low bits are kept, packed into four words.
 2. Classes: documents with equal shingle sets are one class, named by its smallest id, by a map-side aggregation.
-3. Candidates: classes that share a band key are a bucket. Each member is paired with its bucket's first class; the
-   packed signatures, by bit counts corrected for chance agreement, drop pairs far below the threshold.
+3. Candidates: classes that share a band key are a bucket. Each member is paired with its bucket's first class; of
+   the distinct pairs, the packed signatures, by bit counts corrected for chance agreement, drop those far below the
+   threshold.
 4. Confirmation on the full sets, recomputed from the two texts, and connected components of the links.
 5. Members that their bucket's first class did not reach are paired with the first of those left over, again and
-   again, as long as that resolves many of them; then every pair still left in different components of one bucket is
-   taken, with longer signatures of ``FINE`` minima for a narrow margin. So no candidate link is lost, while a
-   bucket of near copies costs one pair a member, not all pairs.
+   again, as long as that resolves many of them; no pair is tried twice. The members of buckets that still hold
+   several components get longer signatures of ``FINE`` minima, and 113 bands of nine of these divide them into
+   sub-buckets; pairs of different components in one sub-bucket are taken, with a narrow margin. So a bucket of near
+   copies costs one pair a member, and only real neighbours are compared beyond that.
 
-A pair at similarity 0.85 shares no band with probability 8e-7, and falls to a bit-count margin with at most 1e-6.
+Rows that are shuffled by band hold two numbers; a text is shuffled once, and once more for each centre it is held
+against. A round's tables are deleted when the next one is written.
+
+A pair at similarity 0.85 shares no band with probability 8e-7, no sub-bucket with 1e-13 (at 0.80, the pipeline's
+threshold, 7e-5 and 9e-8), and falls to a bit-count margin with at most 1e-6.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; a text below five words is one
 shingle; repeated rows are copies of each other; rows without an id are linked with nothing and kept, their
@@ -30,13 +36,13 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 from .components import components
 from .textbytes import chunks, mix64, shingles, utf8, words
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-HASHES, BANDS, ROWS, BITS, FINE = 128, 24, 5, 2, 1024
+HASHES, BANDS, ROWS, BITS, FINE, FINE_ROWS = 128, 24, 5, 2, 1024, 9
 _RNG = np.random.default_rng(777)
 _MUL = _RNG.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)
@@ -79,13 +85,18 @@ def signatures(data: np.ndarray, offsets: np.ndarray):
     size = np.bincount(rows, minlength=n).astype(np.int64)
     s1, s2 = set_ids(rows, grams, n)
     minima = minima_of(rows, grams, n, _MUL, _ADD)
-    bands = np.empty((n, BANDS), np.uint64)
-    for b in range(BANDS):
-        key = np.full(n, b + 1, np.uint64)
-        for m in minima[b * ROWS : (b + 1) * ROWS]:
+    return size, s1, s2, band_keys(minima, BANDS, ROWS), packed(minima)
+
+
+def band_keys(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One key per text and band, of ``rows`` minima each."""
+    out = np.empty((minima.shape[1], bands), np.uint64)
+    for b in range(bands):
+        key = np.full(minima.shape[1], b + 1, np.uint64)
+        for m in minima[b * rows : (b + 1) * rows]:
             key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + m)
-        bands[:, b] = key
-    return size, s1, s2, bands, packed(minima)
+        out[:, b] = key
+    return out
 
 
 def minima_of(rows: np.ndarray, grams: np.ndarray, n: int, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
@@ -110,15 +121,16 @@ def packed(minima: np.ndarray) -> np.ndarray:
 
 
 def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Longer signatures: ``(rep, fine)``."""
+    """Longer signatures and the band keys of their sub-buckets: ``(rep, fine, keys)``."""
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         for a, b in chunks(offsets):
             part = offsets[a : b + 1]
             _, _, row, h = words(data[part[0] : part[-1]], part - part[0])
             rows, grams = shingles(row, h, b - a)
-            sig = packed(minima_of(rows, grams, b - a, _FINE_MUL, _FINE_ADD))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _list_column(sig)], ["rep", "fine"])
+            minima = minima_of(rows, grams, b - a, _FINE_MUL, _FINE_ADD)
+            lists = [_list_column(packed(minima)), _list_column(band_keys(minima, FINE // FINE_ROWS, FINE_ROWS))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *lists], ["rep", "fine", "keys"])
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,66 +221,88 @@ def near_duplicates(
         .select("s1", "s2", "n_shingles", F.col("x.doc_id").alias("rep"), "x.bands", "x.sig"),
         "classes",
     )
-    member = classes.select("rep", "sig", F.explode("bands").alias("band"))
-    often = member.groupBy("band").count().where("count > 1").select("band")
-    member = written(member.join(often, "band"), "buckets")
-    # the one shuffle of texts, by the same plan at every size; what is left are the texts of bucket members
-    wanted = written(member.select("rep").distinct(), "members").hint("merge")
-    texts = written(d.join(wanted, d["doc_id"] == wanted["rep"], "left_semi"), "member-texts")
-
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        ids = written(pairs.select("a", "b").distinct(), f"{name}-pairs")
-        with_a = ids.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    # buckets are rows of two numbers; signatures and texts are fetched for the pairs that need them
+    member = classes.select("rep", F.explode("bands").alias("band"))
+    first = member.groupBy("band").agg(F.min("rep").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    buckets = written(member.join(written(first, "stars"), "band"), "buckets")
+
+    def likely(pairs: DataFrame, name: str) -> DataFrame:
+        """Of distinct pairs, those whose packed signatures may meet the threshold."""
+        sides = [classes.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab"]
+        both = pairs.join(sides[0], "a").join(sides[1], "b")
+        close = similarity(words_of_signature("sig_a"), words_of_signature("sig_b")) >= floor
+        return written(both.where(close).select("a", "b"), f"{name}-likely")
+
+    def confirmed(members: DataFrame, centres: DataFrame, name: str) -> DataFrame:
+        """Links among ``(a, b, text_b)``, checked against the texts of the centres ``a``: the text of a centre is
+        sent once, and a hot centre's members are split over tasks."""
+        both = members.join(centres.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
         links = both.select("a", "b", "text_a", "text_b").mapInArrow(_verifier(num, den), "a long, b long")
         return written(links.distinct(), f"{name}-links")
 
-    def starred(rows: DataFrame) -> DataFrame:
-        """Each row's bucket: its first class, and whether the row is in that class's component."""
-        first = rows.groupBy("band").agg(F.min(F.struct("comp", "rep", "sig")).alias("f"))
-        return rows.join(first, "band")
-
-    rows = member.withColumn("comp", F.col("rep"))
-    links, left = None, None
-    for k in range(12):
-        star = starred(rows).where("rep <> f.rep and comp <> f.comp")
-        pairs = star.where(similarity(words_of_signature("sig"), words_of_signature("f.sig")) >= floor)
-        new = confirmed(pairs.select(F.col("f.rep").alias("a"), F.col("rep").alias("b")), f"star-{k}")
-        links = new if links is None else written(links.union(new), f"links-{k}")
+    def by_member(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        return pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+
+    pairs = written(buckets.where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    good = likely(pairs, "star-0")
+    # the one shuffle of texts, by the same plan at every size: each bucket member's text, with its centres
+    roles = good.select(F.col("b").alias("rep"), F.col("a").alias("centre"), F.lit(False).alias("is_centre"))
+    roles = roles.union(good.select("a", F.lit(None).cast("long"), F.lit(True)))
+    roles = roles.union(buckets.select("rep", F.lit(None).cast("long"), F.lit(False)))
+    roles = roles.groupBy("rep").agg(F.collect_set("centre").alias("centres"), F.max("is_centre").alias("is_centre"))
+    texts = d.join(written(roles, "roles").hint("merge"), d["doc_id"] == F.col("rep"))
+    texts = written(texts.select("doc_id", "text", "centres", "is_centre"), "member-texts")
+    members = texts.select(F.explode("centres").alias("a"), F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    links = confirmed(members, texts.where("is_centre"), "star-0")
+    discard(good)
+    texts = texts.select("doc_id", "text")
+    left, tried, open_rows = None, pairs, None
+    for k in range(1, 13):
         comp = written(components(links, f"star-{k}-comp"), f"star-{k}-labels")
-        labelled = member.join(comp, member["rep"] == comp["node"], "left").select(
-            "band", "rep", "sig", F.coalesce("component", "rep").alias("comp")
+        labelled = buckets.join(comp, buckets["rep"] == comp["node"], "left").select(
+            "band", "rep", F.coalesce("component", "rep").alias("comp")
         )
         # buckets that still hold several components, and in them the members outside the first one's
-        labelled = written(labelled, f"star-{k}-members")
         mixed = labelled.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        open_rows = written(labelled.join(mixed, "band"), f"star-{k}-open")
-        rest = open_rows.where("comp <> lo").select("band", "rep", "sig", "comp")
+        discard(open_rows)
+        open_rows = written(labelled.join(written(mixed, f"star-{k}-mixed"), "band"), f"star-{k}-open")
+        rest = open_rows.where("comp <> lo")
         n = rest.count()
         if n == 0:
             return _result(signed, classes, comp)
-        if left is not None and n > 0.7 * left:
+        if left is None:  # from here on only texts of members of mixed buckets are needed
+            wanted = written(open_rows.select("rep").distinct(), "open-members").hint("merge")
+            texts = written(texts.join(wanted, texts["doc_id"] == wanted["rep"], "left_semi"), "open-texts")
+        elif n > 0.7 * left:
+            break
+        left = n
+        star = rest.join(rest.groupBy("band").agg(F.min(F.struct("comp", "rep")).alias("f")), "band")
+        pairs = star.where("comp <> f.comp").select(F.col("f.rep").alias("a"), F.col("rep").alias("b")).distinct()
+        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), f"star-{k}-pairs")
+        if pairs.isEmpty():
             break
-        left, rows = n, rest
-    open_reps = open_rows.select("rep").distinct()
+        good = likely(pairs, f"star-{k}")
+        new = confirmed(by_member(good, texts), texts.join(good, texts["doc_id"] == good["a"], "left_semi"), f"star-{k}")
+        tried, old = tried.union(pairs), links
+        links = written(links.union(new), f"links-{k}")
+        discard(good, new, old, comp)
+    # sub-buckets of the members left, by more and narrower bands of longer signatures
+    open_reps = written(open_rows.select("rep", "comp").distinct(), "open-reps")
     fine = texts.join(open_reps, texts["doc_id"] == open_reps["rep"], "left_semi").select("doc_id", "text")
-    keys = classes.select("rep", "bands").join(fine.mapInArrow(_fine, "rep long, fine array<bigint>"), "rep")
-    keys = written(keys, "fine")
-    # the short signature's words as columns: most pairs are told apart by them alone
-    q = [f"q{k}" for k in range(HASHES * BITS // 64)]
-    words_ = dict(zip(q, words_of_signature("sig"), strict=True))
-    x = written(rest.join(keys, "rep").withColumns(words_).drop("sig"), "rest-left").alias("x")
-    y = written(open_rows.drop("lo", "hi").join(keys, "rep").withColumns(words_).drop("sig"), "rest-right").alias("y")
-    short_x, short_y = ([F.col(f"{side}.{c}") for c in q] for side in "xy")
-    shared = F.filter(F.col("x.bands"), lambda k: F.array_contains(F.col("y.bands"), k))
-    pairs = x.join(y, F.col("x.band") == F.col("y.band")).where(
-        (F.col("x.comp") != F.col("y.comp"))
-        & (similarity(short_x, short_y) >= floor)
-        & (similarity(words_of_signature("x.fine", FINE), words_of_signature("y.fine", FINE)) >= fine_floor)
-        & (shared[0] == F.col("x.band"))  # a pair counts in the first bucket it shares
-    )
-    pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
-    links = written(links.union(confirmed(pairs, "rest")), "links")
+    kind = "rep long, fine array<bigint>, keys array<bigint>"
+    keys = written(fine.mapInArrow(_fine, kind).join(open_reps, "rep"), "fine")
+    sub = keys.select("rep", "comp", F.explode("keys").alias("key"))
+    mixed = sub.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    sub = written(sub.join(mixed, "key"), "sub-buckets")
+    x, y = sub.alias("x"), sub.alias("y")
+    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where("x.comp < y.comp")
+    pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    sides = [keys.select(F.col("rep").alias(s), F.col("fine").alias(f"fine_{s}")) for s in "ab"]
+    close = similarity(words_of_signature("fine_a", FINE), words_of_signature("fine_b", FINE)) >= fine_floor
+    good = written(pairs.join(sides[0], "a").join(sides[1], "b").where(close).select("a", "b"), "rest-likely")
+    new = confirmed(by_member(good, texts), texts.join(good, texts["doc_id"] == good["a"], "left_semi"), "rest")
+    links = written(links.union(new), "links")
     return _result(signed, classes, components(links, "final"))
 
 

@@ -4,7 +4,8 @@ Each metric is a native expression over the text; each rule names a metric, a co
 compiles to one boolean per document - no user function, no shuffle, one pass over the text.
 
 Defined cases: null and empty texts have no words (all counts 0, base failed); very long texts stay in one row and
-cost n log n; repeated rows are judged alike; extra columns do not matter, as only the named ones are read.
+cost n log n; repeated rows are judged alike; extra columns pass through, but one named like a metric or a verdict is
+replaced by it (``kept_rows`` returns the rows as they came, whatever their columns are called).
 """
 
 from __future__ import annotations
@@ -125,3 +126,11 @@ def quality_rules(docs: DataFrame, text_col: str = "text", thresholds=THRESHOLDS
         .withColumn("base_failed", base)
         .withColumn("kept", ~F.col("base_failed") & compile_rules(thresholds))
     )
+
+
+def kept_rows(docs: DataFrame, text_col: str = "text", thresholds=THRESHOLDS, stop_words=tuple(STOP_WORDS)) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, unchanged. The verdict feeds an outer explode of zero or one row: a plain
+    filter on it would be pushed below the projection, where every metric is written out and computed once more."""
+    judged = quality_rules(docs.select(F.struct("*").alias("__qr_row"), F.col(text_col).alias("text")), "text", thresholds, stop_words)
+    one = F.explode_outer(F.when(F.col("kept"), F.array("__qr_row"))).alias("__qr_row")
+    return judged.select(one).where("__qr_row is not null").select("__qr_row.*")
