@@ -15,26 +15,28 @@ from telemsg.llm.decontaminate import leaks, without_leaks
 from telemsg.llm.line_dedup import line_dedup
 from telemsg.llm.minhash_dedup import near_duplicates
 from telemsg.llm.mixing import mix
-from telemsg.llm.quality_rules import quality_rules
+from telemsg.llm.quality_rules import kept_rows
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality_rules(docs.select(F.struct("*").alias("__row"), F.col("text")))
-    return judged.where("kept").select("__row.*")
+    return kept_rows(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that are in ten documents or more; ``n_chars`` follows the text."""
+    """Texts without the lines that are in ten documents or more; ``n_chars``, where there is one, follows the text."""
     out = line_dedup(docs).drop("__ld_lines", "__ld_dropped")
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates (similarity 0.8 on five-word shingles): that with the smallest id, by
-    a hash of the text among equal ids. Rows are told apart by a number each, written with them, so ids may be shared;
-    a row without an id stays only where no row of its group has one. Rows without words stay."""
-    numbered = docs.withColumns({"__nd_row": F.monotonically_increasing_id(), "__nd_text": F.xxhash64("text")})
+    hashes of the text and of the whole row among equal ids. Rows are told apart by a number each, written with them, so
+    ids may be shared; a row without an id stays only where no row of its group has one. Rows without words stay."""
+    key = F.struct(F.xxhash64("text").alias("text"), F.xxhash64(*docs.columns).alias("all"))
+    numbered = docs.withColumns({"__nd_row": F.monotonically_increasing_id(), "__nd_text": key})
     rows = written(numbered, "numbered")
     found = written(near_duplicates(rows, "__nd_row", num=80).withColumnRenamed("doc_id", "row"), "components")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__nd_text", "row")
