@@ -8,16 +8,16 @@
    threshold.
 4. Confirmation on the full sets, recomputed from the two texts, and connected components of the links.
 5. Members that their bucket's first class did not reach are paired with the first of those left over, again and
-   again, as long as that resolves many of them; no pair is tried twice. The members of buckets that still hold
-   several components get longer signatures of ``FINE`` minima, and 113 bands of nine of these divide them into
-   sub-buckets; pairs of different components in one sub-bucket are taken, with a narrow margin. So a bucket of near
-   copies costs one pair a member, and only real neighbours are compared beyond that.
+   again, as long as that resolves many of them; no pair is tried twice. Of the buckets that still hold several
+   components, the pairs of different ones are judged, inside the join, by longer signatures of ``FINE`` minima with a
+   narrow margin, and those that pass are checked. So no candidate link is lost, while a bucket of near copies costs
+   one pair a member, not all pairs.
 
 Rows that are shuffled by band hold two numbers; a text is shuffled once, and once more for each centre it is held
 against. A round's tables are deleted when the next one is written.
 
-A pair at similarity 0.85 shares no band with probability 8e-7, no sub-bucket with 1e-13 (at 0.80, the pipeline's
-threshold, 7e-5 and 9e-8), and falls to a bit-count margin with at most 1e-6.
+A pair at similarity 0.85 shares no band with probability 8e-7 (7e-5 at 0.80, the pipeline's threshold), and falls to
+a bit-count margin with at most 1e-6.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; a text below five words is one
 shingle; repeated rows are copies of each other; rows without an id are linked with nothing and kept, their
@@ -42,7 +42,7 @@ from .textbytes import chunks, mix64, shingles, utf8, words
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-HASHES, BANDS, ROWS, BITS, FINE, FINE_ROWS = 128, 24, 5, 2, 1024, 9
+HASHES, BANDS, ROWS, BITS, FINE = 128, 24, 5, 2, 1024
 _RNG = np.random.default_rng(777)
 _MUL = _RNG.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _ADD = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)
@@ -121,16 +121,15 @@ def packed(minima: np.ndarray) -> np.ndarray:
 
 
 def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Longer signatures and the band keys of their sub-buckets: ``(rep, fine, keys)``."""
+    """Longer signatures: ``(rep, fine)``."""
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         for a, b in chunks(offsets):
             part = offsets[a : b + 1]
             _, _, row, h = words(data[part[0] : part[-1]], part - part[0])
             rows, grams = shingles(row, h, b - a)
-            minima = minima_of(rows, grams, b - a, _FINE_MUL, _FINE_ADD)
-            lists = [_list_column(packed(minima)), _list_column(band_keys(minima, FINE // FINE_ROWS, FINE_ROWS))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *lists], ["rep", "fine", "keys"])
+            sig = packed(minima_of(rows, grams, b - a, _FINE_MUL, _FINE_ADD))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), _list_column(sig)], ["rep", "fine"])
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +270,7 @@ def near_duplicates(
         if n == 0:
             return _result(signed, classes, comp)
         if left is None:  # from here on only texts of members of mixed buckets are needed
-            wanted = written(open_rows.select("rep").distinct(), "open-members").hint("merge")
+            wanted = written(open_rows.select("rep").distinct(), "open-members")
             texts = written(texts.join(wanted, texts["doc_id"] == wanted["rep"], "left_semi"), "open-texts")
         elif n > 0.7 * left:
             break
@@ -286,21 +285,24 @@ def near_duplicates(
         tried, old = tried.union(pairs), links
         links = written(links.union(new), f"links-{k}")
         discard(good, new, old, comp)
-    # sub-buckets of the members left, by more and narrower bands of longer signatures
-    open_reps = written(open_rows.select("rep", "comp").distinct(), "open-reps")
+    open_reps = written(open_rows.select("rep").distinct(), "open-reps")
     fine = texts.join(open_reps, texts["doc_id"] == open_reps["rep"], "left_semi").select("doc_id", "text")
-    kind = "rep long, fine array<bigint>, keys array<bigint>"
-    keys = written(fine.mapInArrow(_fine, kind).join(open_reps, "rep"), "fine")
-    sub = keys.select("rep", "comp", F.explode("keys").alias("key"))
-    mixed = sub.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    sub = written(sub.join(mixed, "key"), "sub-buckets")
-    x, y = sub.alias("x"), sub.alias("y")
-    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where("x.comp < y.comp")
+    keys = classes.select("rep", "bands", "sig").join(fine.mapInArrow(_fine, "rep long, fine array<bigint>"), "rep")
+    # the short signature's words as columns: most pairs are told apart by them alone
+    q = [f"q{k}" for k in range(HASHES * BITS // 64)]
+    keys = written(keys.withColumns(dict(zip(q, words_of_signature("sig"), strict=True))).drop("sig"), "fine")
+    x = written(rest.select("band", "rep", "comp").join(keys, "rep"), "rest-left").alias("x")
+    y = written(open_rows.select("band", "rep", "comp").join(keys, "rep"), "rest-right").alias("y")
+    short_x, short_y = ([F.col(f"{side}.{c}") for c in q] for side in "xy")
+    shared = F.filter(F.col("x.bands"), lambda k: F.array_contains(F.col("y.bands"), k))
+    pairs = x.join(y, F.col("x.band") == F.col("y.band")).where(
+        (F.col("x.comp") != F.col("y.comp"))
+        & (similarity(short_x, short_y) >= floor)
+        & (similarity(words_of_signature("x.fine", FINE), words_of_signature("y.fine", FINE)) >= fine_floor)
+        & (shared[0] == F.col("x.band"))  # a pair counts in the first bucket it shares
+    )
     pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "rest-pairs")
-    sides = [keys.select(F.col("rep").alias(s), F.col("fine").alias(f"fine_{s}")) for s in "ab"]
-    close = similarity(words_of_signature("fine_a", FINE), words_of_signature("fine_b", FINE)) >= fine_floor
-    good = written(pairs.join(sides[0], "a").join(sides[1], "b").where(close).select("a", "b"), "rest-likely")
+    good = written(pairs.join(tried, ["a", "b"], "left_anti"), "rest-pairs")
     new = confirmed(by_member(good, texts), texts.join(good, texts["doc_id"] == good["a"], "left_semi"), "rest")
     links = written(links.union(new), "links")
     return _result(signed, classes, components(links, "final"))
