@@ -15,8 +15,8 @@ Rules (byte ``b``, bit ``t``, ``n`` whole bytes, ``k`` extra bits):
   plus the low k bits of byte b-1 above them
 * neither: one byte at b, little-endian rule with bit offset t
 
-Values wider than 63 bits cannot be held in a bigint and give an error text for the field; the width is tested
-before any arithmetic, so no layout can fail a job.
+Values wider than 63 bits cannot be held in a bigint; the width is tested before any arithmetic, so no layout can fail
+a job. A compiled codec reads such a field by ``functions.wide``; here it gives an error text.
 
 A codec stores for every field a *read plan* (``read_plan``): which text to cut (the message, or the message with
 its bytes reversed, where a little-endian value is a plain slice), where, the shift and the mask. A message of hex

@@ -18,7 +18,7 @@ EMPTY_MESSAGE = '{"error":"Empty DDT string"}'  # fixed value
 
 DECODED_FIELD = (
     "struct<description:string,decoded_value:string,raw_position:string,size:string,"
-    "msg_type:string,msg_id:string,raw_value:bigint>"
+    "msg_type:string,msg_id:string,raw_value:bigint,raw_wide:string>"
 )
 
 
@@ -58,6 +58,7 @@ def decode_fields(msg: Column, codec: Column, slim: bool = False) -> Column:
                 f["type"].alias("msg_type"),
                 f["id"].alias("msg_id"),
                 raw_value_of(f, raw, value, r["has_linear"]).alias("raw_value"),
+                F.lit(None).cast("string").alias("raw_wide"),  # set by a compiled codec, for 2^63 and more
             )
 
         # raw value and conversion are bound in turn; the field itself is never carried, as results are copied

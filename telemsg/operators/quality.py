@@ -69,6 +69,18 @@ def observe_counts(df: DataFrame, name: str, condition: Column):
     return observed, obs
 
 
+def observe_groups(df: DataFrame, groups: list[tuple[str, int]], family: str = "MODEL_CODE", year: str = "MODEL_YEAR"):
+    """A6 per (family, year): the rows of each of ``groups`` (a short configured list) as ``g0``, ``g1``, ... beside
+    ``total_rows``, collected while the real job runs. Returns (observed DataFrame, observation)."""
+    from pyspark.sql import Observation
+
+    obs = Observation()
+    each = [
+        F.count_if((F.col(family) == f) & (F.col(year) == y)).alias(f"g{i}") for i, (f, y) in enumerate(groups)
+    ]
+    return df.observe(obs, F.count(F.lit(1)).alias("total_rows"), *each), obs
+
+
 def filter_counts(df: DataFrame, condition: Column, keys: list[str] | None = None) -> DataFrame:
     """A6 as a DataFrame: before / after / removed row counts (per key if given)."""
     aggs = [

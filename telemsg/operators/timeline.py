@@ -3,36 +3,37 @@
 ``forward_fill`` (W1) gives ``{c}_reference`` = last non-null value of ``c`` for
 the same key, from the first row up to the current row, ordered by the order
 columns. A plain ``Window.partitionBy(key)`` puts every row of a key in one task,
-and one vehicle may hold a large share of all rows. So the fill is done as a
-two-level scan:
+and one vehicle may hold a large share of all rows. So a hot key is cut along its order:
 
-1. a narrow scan (key, order and filled columns) sums up each (key, bucket), where the bucket is a prefix of the
-   order (e.g. the day of the timestamp), by a map-side aggregation: the last non-null value of every column;
-2. a window over that small summary carries each value to the later buckets of the key;
-3. the rows get their bucket's carry by a join on (key, bucket), null-safe, and are filled inside the bucket by a
-   window that reuses the join's partitioning - so the wide side is shuffled once.
+1. one narrow pass counts the rows of every key by a map-side aggregation and gathers, for keys of more than
+   ``slice_rows`` rows, evenly spaced order values from a hash sample: the cuts. At most one key in ``slice_rows`` rows
+   has any, so this table is far smaller than the input and is broadcast;
+2. a second narrow pass, over hot keys only, takes the last non-null values of every slice; a window over these few
+   rows carries them to the later slices of the key;
+3. the rows are scanned once and shuffled once, by (key, slice), and filled inside the slice by a window; the carry
+   comes by a broadcast.
 
-The result equals the single-window fill for order columns of text, date, timestamp or number, null keys included,
-as long as the bucket does not decrease along the order; rows with a null order come first, in a bucket of their own.
+The result equals the single-window fill for orders of any type, null keys and null orders (which come first) included.
+A table bucketed by the key is filled without any exchange of its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+#: Rows of a key beyond which it is cut into slices of about this size.
+SLICE_ROWS = 2_000_000
+_PER_SLICE = 8
 
-def default_bucket(df: DataFrame, order_col: str) -> Column:
-    """A bucket that never decreases along the order: the day of the order column
-    (text timestamps: the ``yyyy-MM-dd`` prefix, so text order is kept)."""
-    dt = df.schema[order_col].dataType
-    c = F.col(order_col)
-    if isinstance(dt, T.StringType):
-        return F.substring(c, 1, 10)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.to_date(c)
-    return F.floor(c / F.lit(86400)).cast("bigint")  # a number, so that its order is the column's
+
+def hot_cuts(df: DataFrame, key: str, order: list[str], slice_rows: int) -> DataFrame:
+    """(_hot_key, _cuts): keys of more than ``slice_rows`` rows with the order values at which they are cut."""
+    at = F.struct(*order)
+    sampled = F.when(F.pmod(F.xxhash64(*order), F.lit(max(1, slice_rows // _PER_SLICE))) == 0, at)
+    keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_set(sampled)).alias("_sample"))
+    cuts = F.filter("_sample", lambda x, i: i % _PER_SLICE == _PER_SLICE - 1)
+    return keys.where(F.col("_n") > slice_rows).select(F.col(key).alias("_hot_key"), cuts.alias("_cuts"))
 
 
 def forward_fill(
@@ -40,32 +41,35 @@ def forward_fill(
     columns: list[str],
     key: str = "vin",
     order: list[str] | str = "app_timestamp",
-    bucket: Column | None = None,
     suffix: str = "_reference",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Add ``{c}{suffix}`` for each column. ``order`` may hold a tie-breaker
-    after the timestamp; ``bucket`` must not decrease along ``order``."""
+    """Add ``{c}{suffix}`` for each column. ``order`` may hold a tie-breaker after the timestamp."""
     order = [order] if isinstance(order, str) else list(order)
     if not columns:
         return df
-    bkt = default_bucket(df, order[0]) if bucket is None else bucket
-    base = df.withColumn("_bucket", bkt)
-    row_order = F.struct(*[F.col(o) for o in order])
-    narrow = base.select(*dict.fromkeys([key, "_bucket", *order, *columns]))
-    summary = narrow.groupBy(key, "_bucket").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), row_order)).alias(f"_bl_{c}") for c in columns]
-    )
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        F.col(key).alias("_ckey"), F.col("_bucket").alias("_cbucket"),
-        *[F.last(f"_bl_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns],
+    at = F.struct(*order)
+    cuts = F.broadcast(hot_cuts(df.select(*dict.fromkeys([key, *order])), key, order, slice_rows))
+    nth = F.size(F.filter("_cuts", lambda c: c <= at))
+    narrow = df.select(*dict.fromkeys([key, *order, *columns]))
+    hot = narrow.join(cuts, narrow[key].eqNullSafe(F.col("_hot_key"))).withColumn("_slice", nth)
+    last = hot.groupBy(key, "_slice").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(f"_last_{c}") for c in columns]
     )
-    same = base[key].eqNullSafe(carry["_ckey"]) & base["_bucket"].eqNullSafe(carry["_cbucket"])
-    within = Window.partitionBy(key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = base.join(carry, same, "left").withColumns(
-        {f"{c}{suffix}": F.coalesce(F.last(c, ignorenulls=True).over(within), F.col(f"_carry_{c}")) for c in columns}
+    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(
+        F.col(key).alias("_carry_key"), F.col("_slice").alias("_carry_slice"),
+        *[F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_carry_{c}") for c in columns],
+    )
+    rows = df.join(cuts, df[key].eqNullSafe(F.col("_hot_key")), "left")
+    rows = rows.withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(nth)).drop("_hot_key", "_cuts")
+    within = Window.partitionBy(key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = rows.withColumns({f"{c}{suffix}": F.last(c, ignorenulls=True).over(within) for c in columns})
+    same = filled[key].eqNullSafe(F.col("_carry_key")) & (filled["_slice"] == F.col("_carry_slice"))
+    out = filled.join(F.broadcast(carry), same, "left").withColumns(
+        {f"{c}{suffix}": F.coalesce(f"{c}{suffix}", f"_carry_{c}") for c in columns}
     )
-    return out.drop("_bucket", "_ckey", "_cbucket", *[f"_carry_{c}" for c in columns])
+    return out.drop("_slice", "_carry_key", "_carry_slice", *[f"_carry_{c}" for c in columns])
 
 
 def forward_fill_window(df: DataFrame, columns: list[str], key: str = "vin", order: list[str] | str = "app_timestamp",

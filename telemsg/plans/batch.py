@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemsg.catalogue import Catalogue
+from telemsg.operators import compiled as compiling
+from telemsg.operators.compiled import CompiledCodec, compile_codec
 from telemsg.operators.decode import decode, decoded_json
 from telemsg.operators.flatten import add_dt_if_missing, bulk_cast, flatten, typed_columns
 from telemsg.operators.quality import by_time
@@ -71,10 +73,14 @@ def attach_family_dimension(df: DataFrame, dim: DataFrame, family_col: str = "MO
 
 def decode_messages(df: DataFrame, catalogue: Catalogue, how: str = "all", include_json: bool = False,
                     keep_decoded: bool = False, family_col: str = "MODEL_CODE", year_col: str = "MODEL_YEAR",
-                    aligned: bool = True) -> DataFrame:
+                    aligned: bool = True, compiled: CompiledCodec | None = None) -> DataFrame:
     """Validity, filter, decode and typed columns for rows that already carry
-    the family dimension columns ({m}_reference_len, {m}_codec)."""
+    the family dimension columns: {m}_reference_len and {m}_codec, or with ``compiled`` {m}_layout."""
     specs = list(catalogue.messages)
+    if compiled is not None:
+        if include_json:
+            raise ValueError("documents need the codec's own rows; decode without a compiled codec")
+        return _decode_compiled(df, specs, compiled, how, keep_decoded)
     slim = aligned and not (include_json or keep_decoded)
     df = add_validity(df, {s.msg: s.column_name for s in specs})
     if how is not None:
@@ -98,6 +104,21 @@ def decode_messages(df: DataFrame, catalogue: Catalogue, how: str = "all", inclu
     return df.drop(*drop)
 
 
+def _decode_compiled(df: DataFrame, specs: list, compiled: CompiledCodec, how: str | None, keep_decoded: bool) -> DataFrame:
+    df = add_validity(df, {s.msg: s.column_name for s in specs})
+    if how is not None:
+        df = filter_valid(df, [s.msg for s in specs], how)
+    layouts = {f"{s.msg}_layout" for s in specs}
+    kept = [c for c in df.columns if c not in layouts]
+    df = compiling.prepared(df, compiled, {s.msg: s.column_name for s in specs}, lambda m: F.col(f"{m}_is_valid"))
+    marker = f"{specs[0].msg}_reference_len" if specs else None
+    out = [compiling.apart(F.col(c)).alias(c) if c == marker else F.col(c) for c in kept]
+    if keep_decoded:
+        out += [compiling.decoded_array(compiled, s).alias(f"{s.msg}_decoded") for s in specs]
+    out += [c for s in specs for c in compiling.typed_columns(compiled, s)]
+    return df.select(*out)
+
+
 def decode_pipeline(
     telemetry: DataFrame,
     vehicles: DataFrame,
@@ -110,9 +131,12 @@ def decode_pipeline(
     include_json: bool = False,
     parse_timestamp: bool = True,
     dimension: DataFrame | None = None,
+    compiled: CompiledCodec | None = None,
 ) -> DataFrame:
     """The full decode of a telemetry table.
 
+    ``compiled`` (``compile_codec`` of such a codec) is the fast way: the plan holds the fields' expressions, and the
+    dimension is a few numbers a family. Without it the codec's rows are interpreted:
     ``dimension`` is the written family dimension (``write_dimension``) of a
     codec built with ``declared_only=True`` and aligned (``align_codec``) to the
     catalogue; with ``codec`` alone it is resolved inside the plan. ``vehicles``
@@ -131,8 +155,11 @@ def decode_pipeline(
         df = df.withColumn(
             "app_timestamp", F.try_to_timestamp("app_timestamp", F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
         )
-    dim = dimension if dimension is not None else family_dimension(catalogue, codec)
-    return decode_messages(attach_family_dimension(df, dim), catalogue, how=how, include_json=include_json)
+    if compiled is not None:
+        dim = compiled.dimension(df.sparkSession)
+    else:
+        dim = dimension if dimension is not None else family_dimension(catalogue, codec)
+    return decode_messages(attach_family_dimension(df, dim), catalogue, how=how, include_json=include_json, compiled=compiled)
 
 
 def decode_family(df: DataFrame, family: str, year: int, catalogue: Catalogue, dimension: DataFrame,
@@ -172,6 +199,6 @@ def merge_family_tables(frames: list[DataFrame], types: dict[str, str], target:
 
 __all__ = [
     "check_decode_family", "merge_family_tables", "write_dimension", "codec_of",
-    "decode_pipeline", "decode_messages", "decode_family", "decode_all_families",
+    "compile_codec", "decode_pipeline", "decode_messages", "decode_family", "decode_all_families",
     "family_dimension", "attach_family_dimension", "typed_columns",
 ]

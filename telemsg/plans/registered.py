@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemsg.operators import compiled as compiling
 from telemsg.operators.codec import align_codec, load_codec
 from telemsg.operators.decode import decode, field_rows
 from telemsg.operators.flatten import bulk_cast
@@ -18,7 +19,7 @@ from telemsg.operators.validate import (
     add_reference_lengths, add_validity, any_usable, codec_coverage, filter_valid, good_input_marker, length_filter,
     length_flags, length_semi_filter, length_summary, validity_expr,
 )
-from telemsg.plans.batch import attach_family_dimension, codec_of, decode_pipeline, write_dimension
+from telemsg.plans.batch import attach_family_dimension, codec_of, compile_codec, decode_pipeline, write_dimension
 from telemsg.plans.sinks import shared_path
 from telemsg.sample.standin import sample_catalogue, telemetry_from_events, vehicles_from_customer
 from telemsg.sources.conversions import read_linear, read_table
@@ -46,8 +47,28 @@ def _dimension(spark: SparkSession, declared_only: bool) -> DataFrame:
     return _DIMENSIONS[key]
 
 
+_COMPILED: dict[tuple[str, bool], compiling.CompiledCodec] = {}
+
+
+def _compiled(spark: SparkSession, declared_only: bool) -> compiling.CompiledCodec:
+    """The sample's codec, compiled once per Spark application from its written dimension."""
+    key = (spark.sparkContext.applicationId, declared_only)
+    if key not in _COMPILED:
+        cat = sample_catalogue()
+        _COMPILED[key] = compile_codec(codec_of(_dimension(spark, declared_only), cat.message_codes), cat)
+    return _COMPILED[key]
+
+
 def full_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scan -> forward fill -> vehicle join -> validity -> decode -> typed columns."""
+    """Scan -> forward fill -> vehicle join -> validity -> compiled decode -> typed columns."""
+    return decode_pipeline(
+        telemetry_from_events(spark, sf_dir), vehicles_from_customer(spark, sf_dir), sample_catalogue(),
+        tie_breaker="event_id", compiled=_compiled(spark, declared_only=True),
+    )
+
+
+def interpreted_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B7 with the codec's rows interpreted, as a stream or a codec that is not known beforehand needs it."""
     return decode_pipeline(
         telemetry_from_events(spark, sf_dir), vehicles_from_customer(spark, sf_dir), sample_catalogue(),
         tie_breaker="event_id", dimension=_dimension(spark, declared_only=True),
@@ -73,8 +94,14 @@ def _decoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_message(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every field of every valid message, one row per (event, message, field)."""
-    rows = field_rows(_decoded_rows(spark, sf_dir), ["event_id", "msg"], "decoded")
+    """Every field of every valid message, one row per (event, message, field), by the compiled codec."""
+    cat, compiled = sample_catalogue(), _compiled(spark, declared_only=False)
+    df = attach_family_dimension(_joined(spark, sf_dir), compiled.dimension(spark))
+    valid = lambda m: validity_expr(F.col(MSG_COLS[m]), F.col(f"{m}_reference_len"))
+    ready = compiling.prepared(df, compiled, MSG_COLS, valid)
+    items = [F.struct(F.lit(s.msg).alias("msg"), compiling.decoded_array(compiled, s).alias("decoded")) for s in cat.messages]
+    each = ready.select(compiling.apart(F.col("event_id")).alias("event_id"), F.explode(F.array(*items)).alias("x"))
+    rows = field_rows(each.select("event_id", "x.msg", "x.decoded"), ["event_id", "msg"], "decoded")
     names = ["description", "decoded_value", "raw_position", "size", "msg_type", "raw_value"]
     return rows.select("event_id", "msg", "field_index", *[F.col(f"f.{c}").alias(c) for c in names])
 
@@ -206,6 +233,7 @@ def codec_coverage_query(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_decode": full_decode,
+    "interpreted_decode": interpreted_decode,
     "decode_message": decode_message,
     "vehicle_join": vehicle_join,
     "family_counts": family_counts,

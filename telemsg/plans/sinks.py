@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telemsg.operators.quality import observe_groups
+
 
 def existing_schema(spark, table_or_path: str, fmt: str = "parquet"):
     """Schema of a table or of all files below a path, or None where nothing is there yet. Other failures, such as
@@ -63,17 +66,46 @@ def write_table(df: DataFrame, table_or_path: str, mode: str = "overwrite", part
         w.saveAsTable(table_or_path)
 
 
-def with_run_metadata(df: DataFrame, pipeline_version: str, config_version: str) -> DataFrame:
-    """K5: processing_timestamp, pipeline_version, config_version columns."""
+def with_run_metadata(df: DataFrame, pipeline_version: str, config_version: str, stamp=None) -> DataFrame:
+    """K5: processing_timestamp (now, or ``stamp``), pipeline_version, config_version columns."""
     return df.withColumns(
         {
-            "processing_timestamp": F.current_timestamp(),
+            "processing_timestamp": F.current_timestamp() if stamp is None else F.lit(stamp),
             "pipeline_version": F.lit(pipeline_version),
             "config_version": F.lit(config_version),
         }
     )
 
 
+def save_with_summary(df: DataFrame, target: str, pipeline_version: str, config_version: str, groups: Iterable[tuple[str, int]],
+                      family: str = "MODEL_CODE", year: str = "MODEL_YEAR", mode: str = "overwrite") -> DataFrame:
+    """K5 + A6: write ``df`` with its run columns to ``target`` and its counts to ``{target}_summary``: the rows of each
+    (family, year) of ``groups``, and under nulls the rows of all others. The counts are metrics of the write itself,
+    so there is no second pass. Returns the summary table as written."""
+    spark = df.sparkSession
+    groups = sorted(set(groups))
+    stamp = spark.sql("SELECT current_timestamp() AS t").first().t
+    observed, metrics = observe_groups(with_run_metadata(df, pipeline_version, config_version, stamp), groups, family, year)
+    write_table(observed, target, mode)
+    counts = metrics.get
+    rows = [(f, y, counts[f"g{i}"]) for i, (f, y) in enumerate(groups)]
+    rows.append((None, None, counts["total_rows"] - sum(n for *_, n in rows)))
+    summary = spark.createDataFrame([(*r, counts["total_rows"], stamp, pipeline_version, config_version) for r in rows],
+                                    f"{family} string, {year} int, rows long, total_rows long, processing_timestamp timestamp, "
+                                    "pipeline_version string, config_version string")
+    write_table(summary.coalesce(1), f"{target}_summary", mode)
+    return spark.read.parquet(f"{target}_summary") if "/" in target else spark.table(f"{target}_summary")
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, sort: list[str] = ()) -> DataFrame:
+    """A table bucketed by ``key`` and sorted inside its buckets, its files below ``path``: joins, fills and aggregations
+    on the key then need no exchange of it. One file a bucket: the rows are dealt by the key first."""
+    spark = df.sparkSession
+    w = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, key)
+    w.sortBy(key, *sort).saveAsTable(name)
+    return spark.table(name)
+
+
 def run_summary(df: DataFrame, keys: list[str] = ("MODEL_CODE", "MODEL_YEAR")) -> DataFrame:
     """K5 summary table: rows per (family, year) with the run time."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).withColumn(
