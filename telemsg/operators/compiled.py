@@ -284,7 +284,7 @@ def linear_sql(rule: Rule, raw: str, bits: int, kind: str) -> str | Column:
             if decimals <= 3 and largest < 1e6:  # no float in this range is printed with an exponent
                 value = f"CAST({num} AS STRING)"
             else:
-                value = W.bound(F.expr(num), python_float_text)
+                value = W.bound(F.expr(num), exact_float_text if largest >= 1e16 else python_float_text)
     elif factor != factor or offset != offset:
         value = as_kind("Conv Error: cannot convert float NaN to integer")
     else:
@@ -599,4 +599,4 @@ def decoded_array(compiled: CompiledCodec, spec: MessageSpec) -> Column:
     if len(sizes) > 1:
         size = F.element_at(F.array(*[F.lit(len(fields)) for _, fields in m.layouts]), layout + 1)
         whole = F.slice(whole, F.lit(1), size)
-    return F.when(layout.isNotNull(), whole)
+    return F.when(apart(layout).isNotNull(), whole)

@@ -162,27 +162,34 @@ def decode_pipeline(
     return decode_messages(attach_family_dimension(df, dim), catalogue, how=how, include_json=include_json, compiled=compiled)
 
 
-def decode_family(df: DataFrame, family: str, year: int, catalogue: Catalogue, dimension: DataFrame,
+def _decode_with(df: DataFrame, catalogue: Catalogue, dimension: DataFrame | CompiledCodec, how: str | None) -> DataFrame:
+    """Decode by a compiled codec, or by the family dimension's codec rows."""
+    compiled = dimension if isinstance(dimension, CompiledCodec) else None
+    rows = compiled.dimension(df.sparkSession) if compiled is not None else dimension
+    return decode_messages(attach_family_dimension(df, rows), catalogue, how=how, compiled=compiled)
+
+
+def decode_family(df: DataFrame, family: str, year: int, catalogue: Catalogue, dimension: DataFrame | CompiledCodec,
                   how: str | None = None) -> DataFrame:
     """B1: decode the rows of one (family, year) (rows already joined to vehicles)."""
     one = df.filter((F.col("MODEL_CODE") == family) & (F.col("MODEL_YEAR").try_cast("int") == year))
-    return decode_messages(attach_family_dimension(one, dimension), catalogue, how=how)
+    return _decode_with(one, catalogue, dimension, how)
 
 
-def decode_all_families(df: DataFrame, catalogue: Catalogue, dimension: DataFrame, how: str | None = None) -> DataFrame:
+def decode_all_families(df: DataFrame, catalogue: Catalogue, dimension: DataFrame | CompiledCodec, how: str | None = None) -> DataFrame:
     """B2: every (family, year) in one plan; the codec join selects each row's rules,
     so there is no loop over families and no union."""
-    return decode_messages(attach_family_dimension(df, dimension), catalogue, how=how)
+    return _decode_with(df, catalogue, dimension, how)
 
 
-def check_decode_family(df: DataFrame, family: str, year: int, catalogue: Catalogue, dimension: DataFrame,
+def check_decode_family(df: DataFrame, family: str, year: int, catalogue: Catalogue, dimension: DataFrame | CompiledCodec,
                         order: list[str] | str = "app_timestamp") -> DataFrame:
     """Length check -> decode -> typed columns -> sort, for one (family, year) (rows already joined to vehicles)."""
     columns = {m.msg: m.column_name for m in catalogue.messages}
     lengths = catalogue.lengths_df(df.sparkSession)
     ready = prepare_family(df, family, year, lengths, list(columns), columns)
     ready = ready.filter(F.col("MODEL_YEAR").try_cast("int") == year)
-    return by_time(decode_messages(attach_family_dimension(ready, dimension), catalogue, how=None), order)
+    return by_time(_decode_with(ready, catalogue, dimension, None), order)
 
 
 def merge_family_tables(frames: list[DataFrame], types: dict[str, str], target: str, ts_col: str = "app_timestamp",

@@ -19,7 +19,7 @@ from telemsg.operators.timeline import first_n_per_group
 from telemsg.operators.union import drop_duplicate_rows, union_by_name
 from telemsg.operators.validate import good_input_marker, length_filter, prepare_family
 from telemsg.plans.batch import check_decode_family, decode_all_families, decode_family, merge_family_tables
-from telemsg.plans.registered import MSG_COLS, _decoded_rows, _dimension, _joined
+from telemsg.plans.registered import MSG_COLS, _compiled, _decoded_rows, _joined
 from telemsg.plans.sinks import read_merged, run_summary, shared_path, with_run_metadata, write_table
 from telemsg.sample.standin import sample_catalogue, telemetry_from_events
 from telemsg.sources.telemetry import read_table
@@ -28,8 +28,8 @@ TYPED = ["C1F0_supply_voltage", "C1F0_lamp_state", "C1F0_coolant_temp", "C1F0_tr
 
 
 def whole_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole table by path."""
-    return read_table(spark, f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type")
+    """A whole table by path, all its columns."""
+    return read_table(spark, f"{sf_dir}/events.parquet")
 
 
 def _halves(spark, sf_dir):
@@ -128,13 +128,13 @@ def distinct_rows(spark, sf_dir):
 
 def one_family(spark, sf_dir):
     """B1: decode of one family and year."""
-    out = decode_family(_joined(spark, sf_dir), "AU", 2025, sample_catalogue(), _dimension(spark, True))
+    out = decode_family(_joined(spark, sf_dir), "AU", 2025, sample_catalogue(), _compiled(spark, True))
     return out.select("event_id", *TYPED)
 
 
 def all_families(spark, sf_dir):
     """B2: decode of all families and years in one plan."""
-    out = decode_all_families(_joined(spark, sf_dir), sample_catalogue(), _dimension(spark, True), how="any")
+    out = decode_all_families(_joined(spark, sf_dir), sample_catalogue(), _compiled(spark, True), how="any")
     return out.select("event_id", "MODEL_CODE", "MODEL_YEAR", *TYPED)
 
 
@@ -156,7 +156,7 @@ def flagged_rows(spark, sf_dir):
 def checked_family(spark, sf_dir):
     """Length check, decode, typed columns and sort of one family and year."""
     order = ["app_timestamp", "event_id"]
-    out = check_decode_family(_joined(spark, sf_dir), "AU", 2025, sample_catalogue(), _dimension(spark, True), order)
+    out = check_decode_family(_joined(spark, sf_dir), "AU", 2025, sample_catalogue(), _compiled(spark, True), order)
     return out.select("event_id", "app_timestamp", *TYPED)
 
 

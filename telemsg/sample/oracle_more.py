@@ -56,7 +56,7 @@ def _nibbles(hex_text: str) -> str:
 B310_LISTS = ["SID-PR", "RecordDataIdentifier", "RecordDataIdentifier"] + [f[0] for f in B310_FIELDS[2:]]
 
 MORE_SQL = {
-    "whole_table": "SELECT event_id, user_id, event_type FROM events",
+    "whole_table": "SELECT * FROM events",
     "overwritten_table": J + "SELECT event_id, MODEL_CODE, tbm_keyon FROM joined WHERE MODEL_YEAR <> 2024",
     "appended_table": J
     + "SELECT event_id, MODEL_CODE, CASE WHEN MODEL_YEAR <> 2024 THEN tbm_keyon END AS tbm_keyon FROM joined",
