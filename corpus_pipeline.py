@@ -42,7 +42,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__nd_text", "row")
     named = found.join(rows.select(F.col("__nd_row").alias("row"), "doc_id", "__nd_text"), "row")
     first = named.groupBy("component_id").agg(F.min(order).alias("x")).select("x.row")
-    gone = found.join(first, "row", "left_anti").select("row")
+    # rows beside a list that grows with them: one plan at every size, and none of it is broadcast
+    gone = found.join(first, "row", "left_anti").select("row").hint("merge")
     return rows.join(gone, rows["__nd_row"] == gone["row"], "left_anti").select(docs.columns)
 
 
