@@ -50,3 +50,18 @@ def test_repeats_overlap_and_verdicts(spark):
     assert got[body].kept
     assert not got[body.upper()].kept and not got[" ### ".join(body.split())].kept and not got[texts[-1]].kept
     assert got[texts[7]].n_dup_lines == 1
+
+
+def test_kept_rows_are_as_they_came_and_judged_once(spark):
+    from telemsg.llm.quality_rules import kept_rows
+
+    docs = odd_docs(spark)  # with columns named like metrics and verdicts
+    out = kept_rows(docs)
+    assert out.columns == docs.columns
+    want = [r.text for r in quality_rules(docs.select("doc_id", "text")).where("kept").collect()]
+    got = out.collect()
+    assert sorted(r.text for r in got) == sorted(want)
+    assert {repr(r) for r in got} <= {repr(r) for r in docs.collect()}
+    splits = lambda df: df._jdf.queryExecution().executedPlan().toString().count("split(")
+    assert splits(out) <= splits(quality_rules(docs.select("doc_id", "text")).select("kept"))
+    assert kept_rows(empty_docs(spark)).count() == 0
