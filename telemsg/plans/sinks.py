@@ -114,10 +114,12 @@ def run_summary(df: DataFrame, keys: list[str] = ("MODEL_CODE", "MODEL_YEAR")) -
 
 
 def shared_path(spark, name: str) -> str:
-    """A new path in the folder all executors share (``spark.checkpoint.dir``); where the session names none, as in
+    """A new path in the folder all executors share (``spark.checkpoint.dir``); where a local session names none, as in
     tests on one machine, a temporary folder is set for it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='telemsg-shared-')}"
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
