@@ -22,10 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``. Where the session names none (tests, one machine),
-    a temporary folder is set for it and removed at exit."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where a local session names none (tests), a temporary
+    folder is set for it and removed at exit."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="telemsg-shared-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         root = f"file://{root}"
