@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from telemsg.functions import hexbits as H
 
 
+#: Bits of a part, and bits up to which a field at a constant position is written out by its parts.
+PART, MOST_BITS = 24, 256
+_NINE = 10**9
+
+
 def bound(value: Column, body) -> Column:
     """``body(value)`` with the value computed once, as a lambda variable."""
     return F.transform(F.array(value), body)[0]
@@ -92,3 +97,29 @@ def read_wide(msg: Column, length: Column, all_hex: Column, b: Column, t: Column
         split_up,
         lambda x: F.struct(x["raw"].alias("raw"), x["wide"].alias("wide"), x["err"].alias("err"), decimal_text(x["wide"]).alias("digits")),
     )
+
+
+def parts_raw(parts: list[str]) -> tuple[str, str]:
+    """(number, bits beyond a bigint's) of a whole number from its parts of ``PART`` bits each, lowest first."""
+    mid = parts[2] if len(parts) > 2 else "0L"
+    raw = f"({parts[0]} | shiftleft({parts[1]}, {PART}) | shiftleft({mid} & {(1 << 15) - 1}L, {2 * PART}))"
+    return raw, "(" + " | ".join([f"shiftright({mid}, 15)", *parts[3:]]) + ")"
+
+
+def parts_hex(parts: list[str]) -> str:
+    """Hex digits without leading zeros."""
+    return f"ltrim('0', concat({', '.join(f"lpad(hex({x}), 6, '0')" for x in reversed(parts))}))"
+
+
+def parts_decimal(parts: list[str]) -> str:
+    """Decimal digits without leading zeros: every part's power of two is cut into limbs of nine digits beforehand, so
+    a limb is a sum of products with constants (below 2^54 each) and the carry of the limb below."""
+    powers = [1 << (PART * i) for i in range(len(parts))]
+    n = -(-len(str((1 << (PART * len(parts))) - 1)) // 9)
+    limbs, carry = [], None
+    for j in range(n):
+        terms = [f"{x} * {c}L" for x, p in zip(parts, powers, strict=True) if (c := p // _NINE**j % _NINE)]
+        x = " + ".join([*terms, *([carry] if carry else [])]) or "0L"
+        limbs.append(f"lpad(CAST(({x}) % {_NINE}L AS STRING), 9, '0')")
+        carry = f"(({x}) div {_NINE}L)"
+    return f"ltrim('0', concat({', '.join(reversed(limbs))}))"

@@ -12,8 +12,9 @@ message the expressions of its fields. A message is read in three steps:
 
 The expected length is part of the layout's key and only valid messages are decoded, so every bound of a position is
 settled while compiling: a field beyond the message is a constant text. Layouts that agree on a field share its
-expression; where they differ, a CASE on the layout's number chooses. Fields that need more than 63 bits take the
-rules in full (``functions.hexbits``) with constant positions.
+expression; where they differ, a CASE on the layout's number chooses. Fields that need more than 63 bits are cut into
+parts of 24 bits, from which their number, hex and decimal digits are written out with constants; in a message with
+other characters or of another length than its layout's they take the rules in full (``functions.wide``).
 
 Spark plans a projection of plain expressions as one generated method, which the JVM only interprets beyond 8000
 bytes of bytecode. The projections here hold a lambda (``apart``), so Spark divides them into small methods instead.
@@ -55,7 +56,7 @@ class Read:
     shift: int = 0
     mask_bits: int | None = None
     back: tuple[int, int, int] | None = None
-    full: tuple[int, int, int, int] | None = None  # (b, t, n, k) of a field of more than 63 bits
+    full: tuple[int, int, int, int, int] | None = None  # (b, t, n, k, length) of a field of more than 63 bits
 
     @property
     def bits(self) -> int:
@@ -87,7 +88,7 @@ def read_of(b: int, t: int, n: int, k: int, length: int) -> Read:
             return Read(error=H.MSG_BIT_POS % t)
         digits = min(2 * n, length - 2 * b)
         if digits > 14:
-            return Read(full=(b, t, n, k))
+            return Read(full=(b, t, n, k, length))
         return Read(checks=((2 * b, digits),), parts=((8 * b, 4 * digits, 0),))
     size = max(n, 1)
     if not 0 <= t <= 7:
@@ -95,7 +96,7 @@ def read_of(b: int, t: int, n: int, k: int, length: int) -> Read:
     if (b + size) * 2 > length:
         return Read(error=H.MSG_INSUFFICIENT % (b, b + size - 1, length // 2))
     if size * 8 + max(t, k) > 63:
-        return Read(full=(b, t, n, k))
+        return Read(full=(b, t, n, k, length))
     further = t > 0 and (b + size) * 2 + 2 <= length
     checks = [(2 * i, 2) for i in range(b, b + size + further)]
     parts = [(byte[0] + 8 * i, 8, 8 * i) for i in range(size)]
@@ -145,6 +146,32 @@ def raw_sql(words: str, r: Read) -> str:
     return value
 
 
+def wide_bits(b: int, t: int, n: int, k: int, length: int) -> list[tuple[int, int]] | None:
+    """Where the bits of a field of more than 63 bits lie in the message, as (first bit, bits), lowest bits first and
+    (-1, bits) for zeros; null where there is no byte before the first."""
+    if k == 0:
+        return [(8 * b, 4 * min(2 * n, length - 2 * b))]
+    if b < 1:
+        return None
+    out = [(8 * b, 8 - t), *[(8 * i, 8) for i in range(b + 1, b + n)]]
+    if t:
+        out.append((8 * (b + n) + 8 - t if (b + n) * 2 + 2 <= length else -1, t))
+    low = min(k, 8)
+    return [*out, (8 * b - low, low)]
+
+
+def part_sql(words: str, bits: list[tuple[int, int]], low: int, size: int) -> str:
+    """The bits from ``low`` on, ``size`` of them, of a value whose bits lie at ``bits``."""
+    out, at = [], 0
+    for first, count in bits:
+        a, e = max(low, at), min(low + size, at + count)
+        if a < e and first >= 0:
+            x = bits_sql(words, first + count - (e - at), e - a)
+            out.append(f"shiftleft({x}, {a - low})" if a > low else x)
+        at += count
+    return "(" + " | ".join(out) + ")" if out else "0L"
+
+
 def text_sql(s: str | None) -> str:
     if s is None:
         return "CAST(NULL AS STRING)"
@@ -328,7 +355,7 @@ class CompiledMessage:
     layouts: list[tuple[int, tuple[Field | None, ...]]] = field(default_factory=list)  # (length, fields) by number
     number: dict[tuple[str, int], int] = field(default_factory=dict)  # (family, year) -> layout
     checks: dict[tuple[tuple[int, int], ...], int] = field(default_factory=dict)  # texts to test -> place in the list
-    full: dict[tuple[int, int, int, int], int] = field(default_factory=dict)  # positions of wide fields -> place
+    full: dict[tuple[int, int, int, int, int], int] = field(default_factory=dict)  # positions of wide fields -> place
 
     @property
     def n_words(self) -> int:
@@ -401,7 +428,7 @@ def apart(c: Column) -> Column:
 
 def prepared(df: DataFrame, compiled: CompiledCodec, columns: dict[str, str], valid: Callable[[str], Column] | None = None) -> DataFrame:
     """Add {m}_words, {m}_errors and perhaps {m}_full, and clear {m}_layout where the message is not decoded."""
-    out = {}
+    out, parts, wide = {}, {}, {}
     for msg, col in columns.items():
         m, text = compiled.messages[msg], F.col(col)
         ok = text.isNotNull() if valid is None else valid(msg)
@@ -413,8 +440,11 @@ def prepared(df: DataFrame, compiled: CompiledCodec, columns: dict[str, str], va
         out[f"{msg}_words"] = F.when(number.isNotNull(), _words(padded, max(1, m.n_words)))
         out[f"{msg}_errors"] = F.when(number.isNotNull() & ~all_hex, _errors(text, m))
         if m.full:
-            out[f"{msg}_full"] = F.when(number.isNotNull(), _in_full(text, all_hex, list(m.full)))
-    return df.withColumns(out)
+            parts[f"{msg}_parts"] = _parts(m)
+            wide[f"{msg}_full"] = F.when(F.col(f"{msg}_layout").isNotNull(), _full(text, m))
+    out = df.withColumns(out)
+    # a projection each, so that words and parts are made once; the parts hold a lambda, as ``apart`` says
+    return out.withColumns(parts).withColumns(wide).drop(*parts) if wide else out
 
 
 def _words(padded: Column, n: int) -> Column:
@@ -422,8 +452,58 @@ def _words(padded: Column, n: int) -> Column:
     return W.bound(padded, lambda p: F.array(*[F.conv(p.substr(14 * i + 1, 14), 16, 10).cast("bigint") for i in range(n)]))
 
 
-def _in_full(text: Column, all_hex: Column, positions: list[tuple[int, int, int, int]]) -> Column:
+def _own_layouts(m: CompiledMessage, position: tuple[int, int, int, int, int]) -> Column:
+    """Whether the message's layout has a wide field at this position."""
+    own = [i for i, (_, fields) in enumerate(m.layouts) if any(f is not None and f.read.full == position for f in fields)]
+    return F.col(f"{m.msg}_layout").isin(own)
+
+
+def _written_out(position: tuple[int, int, int, int, int]) -> list[tuple[int, int]] | None:
+    """Where the field's bits lie, if it is written out by parts."""
+    bits = wide_bits(*position)
+    return bits if bits is not None and sum(n for _, n in bits) <= W.MOST_BITS else None
+
+
+def _parts(m: CompiledMessage) -> Column:
+    """array<array<bigint>>: the parts of every wide field that is written out."""
+    items = []
+    for position in m.full:
+        bits = _written_out(position) or []
+        n = -(-sum(c for _, c in bits) // W.PART)
+        sqls = [part_sql(f"`{m.msg}_words`", bits, W.PART * i, W.PART) for i in range(n)]
+        some = F.array(*[F.expr(f"CAST({x} AS BIGINT)") for x in sqls]).cast("array<bigint>")
+        items.append(F.when(_own_layouts(m, position), some))
+    return F.when(apart(F.col(f"{m.msg}_layout")).isNotNull(), F.array(*items))
+
+
+def _full(text: Column, m: CompiledMessage) -> Column:
     """array<struct<raw, wide, err, digits>> of the fields of more than 63 bits; ``digits`` is a wide value in decimal."""
+    all_hex = F.col(f"{m.msg}_errors").isNull()
+    in_full = _in_full(text, all_hex, [p[:4] for p in m.full])
+    lengths = F.array(*[F.lit(length) for length, _ in m.layouts])
+    plain = all_hex & (F.length(text) == F.element_at(lengths, F.col(f"{m.msg}_layout") + 1))
+    items = []
+    for position, i in m.full.items():
+        bits = _written_out(position)
+        if bits is None:
+            items.append(_in_full(text, all_hex, [position[:4]])[0])
+            continue
+        parts = [f"`{m.msg}_parts`[{i}][{j}]" for j in range(-(-sum(n for _, n in bits) // W.PART))]
+        raw, beyond = W.parts_raw(parts)
+        items.append(
+            F.struct(
+                F.expr(f"IF({beyond} = 0L, {raw}, CAST(NULL AS BIGINT))").alias("raw"),
+                F.expr(f"IF({beyond} = 0L, CAST(NULL AS STRING), {W.parts_hex(parts)})").alias("wide"),
+                F.lit(None).cast("string").alias("err"),
+                F.expr(f"IF({beyond} = 0L, CAST(NULL AS STRING), {W.parts_decimal(parts)})").alias("digits"),
+            )
+        )
+    own = [F.when(_own_layouts(m, p), x) for p, x in zip(m.full, items, strict=True)]
+    return F.when(plain, F.array(*own)).otherwise(in_full)
+
+
+def _in_full(text: Column, all_hex: Column, positions: list[tuple[int, int, int, int]]) -> Column:
+    """The same by the rules in full, for any text."""
     places = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(p, "btnk", strict=True)]) for p in positions])
 
     def read(p: Column) -> Column:

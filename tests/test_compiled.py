@@ -140,3 +140,31 @@ def test_whole_part_of_large_floats(spark):
     xs = [2.0**63, 2.0**64, 1.5e19, -(2.0**70) + 2.0**20, 1e30, 1.7976931348623157e308, 9007199254740993.0, 2.0**64 - 2048, -7.9, 0.0]
     got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", whole_float_text(F.col("x")).alias("t")).collect()
     assert all(r.t == str(int(r.x)) for r in got)
+
+
+def test_plain_messages_read_wide_fields_by_parts(spark, monkeypatch):
+    """The rules in full, which go by character, are left to messages with other characters or of another length."""
+    places = [(b, t, n, k) for n in (8, 9, 16, 20) for b in (1, 2) for t, k in ((0, 0), (0, 1), (3, 4), (7, 8))]
+    entries = [(f"{b} [{t}]", f"{b},{t},{n},{k}", f"{n} [{k}]", "I", "x", "9") for b, t, n, k in places]
+    rng = random.Random(5)
+    plain = ["F" * L, "0" * L, "00" * 13 + "7" * 18, "00" * 10 + "80" + "00" * 11] + ["".join(rng.choices("0123456789ABCDEFabcdef", k=L)) for _ in range(8)]
+    odd = ["zz" + "12" * 21, "12" * 9 + "  0g" + "34" * 11, "AB" * 30, "CD" * 12, ""]
+    kept = K.W.read_wide
+    wanted = spark.createDataFrame([(m,) for m in odd], "m string").select(
+        "m", F.array(*[kept(F.col("m"), F.length("m"), F.col("m").rlike("^[0-9A-Fa-f]*$"), *map(F.lit, p)) for p in places[::5]]).alias("d")
+    )
+    wanted = {r.m: r.d for r in wanted.collect()}
+    _, _, compiled = setup(spark, entries)
+    ready = K.prepared(spark.createDataFrame([(m, 0) for m in odd], "m string, M_layout int"), compiled, {"M": "m"})
+    for r in ready.select("m", "M_full").collect():
+        found = dict(zip(compiled.messages["M"].full, r.M_full, strict=True))
+        assert all(found[*p, L] == x for p, x in zip(places[::5], wanted[r.m], strict=True) if (*p, L) in found), r.m
+
+    def not_here(*_):
+        none = F.lit(None).cast("string")
+        return F.struct(F.raise_error(F.lit("read in full")).cast("bigint").alias("raw"), none.alias("wide"), none.alias("err"), none.alias("digits"))
+
+    monkeypatch.setattr(K.W, "read_wide", not_here)
+    _, got = both(spark, entries, plain)
+    for m in plain:
+        assert [x.decoded_value for x in got[m]] == [str(python_value(m, *p)) for p in places]
