@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from telemsg.operators import compiled as compiling
 from telemsg.operators.codec import align_codec, load_codec
-from telemsg.operators.decode import decode, field_rows
+from telemsg.operators.decode import field_rows
 from telemsg.operators.flatten import bulk_cast
 from telemsg.operators.quality import counts_by, distinct_values
 from telemsg.operators.timeline import first_n_per_group, forward_fill
@@ -76,21 +76,31 @@ def interpreted_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(event_id, msg, text, is_valid, decoded) of every message of every event: one scan, one join, one decode."""
-    df = attach_family_dimension(_joined(spark, sf_dir), _dimension(spark, declared_only=False))
+    """(event_id, msg, text, codec, is_valid, decoded) of every message of every event: one scan, one decode by the
+    compiled codec. ``codec`` holds what a document shows of it; its fields never travel with the rows."""
+    cat, compiled = sample_catalogue(), _compiled(spark, declared_only=False)
+    shown = [
+        F.when(F.col(f"{m}_codec").isNotNull(), F.struct(*[F.col(f"{m}_codec")[c].alias(c) for c in ("layout_name", "broken")])).alias(f"{m}_codec")
+        for m in MSG_COLS
+    ]
+    df = attach_family_dimension(_joined(spark, sf_dir), compiled.dimension(spark))
+    df = attach_family_dimension(df, _dimension(spark, declared_only=False).select("family", "year", *shown))
+    valid = lambda m: F.coalesce(validity_expr(F.col(MSG_COLS[m]), F.col(f"{m}_reference_len")), F.lit(False))
+    ready = compiling.prepared(df, compiled, MSG_COLS, valid)
     items = F.array(
         *[
             F.struct(
-                F.lit(m).alias("msg"), F.col(c).alias("text"), F.col(f"{m}_codec").alias("codec"),
-                F.coalesce(validity_expr(F.col(c), F.col(f"{m}_reference_len")), F.lit(False)).alias("is_valid"),
+                F.lit(s.msg).alias("msg"), F.col(MSG_COLS[s.msg]).alias("text"), F.col(f"{s.msg}_codec").alias("codec"),
+                valid(s.msg).alias("is_valid"), compiling.decoded_array(compiled, s).alias("decoded"),
             )
-            for m, c in MSG_COLS.items()
+            for s in sorted(cat.messages, key=lambda s: list(MSG_COLS).index(s.msg))
         ]
     )
-    one = df.select("event_id", "MODEL_CODE", "MODEL_YEAR", F.explode(items).alias("x")).select(
-        "event_id", "MODEL_CODE", "MODEL_YEAR", "x.msg", "x.text", "x.codec", "x.is_valid"
-    )
-    return decode(one, "text", "codec", "decoded", valid_col="is_valid")
+    # the outer explode, so that no filter on the array is inferred below it, which would decode each message once more
+    each = ready.select(compiling.apart(F.col("event_id")).alias("event_id"), "MODEL_CODE", "MODEL_YEAR", items.alias("items"))
+    names = ["msg", "text", "codec", "is_valid", "decoded"]
+    one = each.select("event_id", "MODEL_CODE", "MODEL_YEAR", F.explode_outer("items").alias("x"))
+    return one.select("event_id", "MODEL_CODE", "MODEL_YEAR", *[F.col(f"x.{c}").alias(c) for c in names])
 
 
 def decode_message(spark: SparkSession, sf_dir: str) -> DataFrame:

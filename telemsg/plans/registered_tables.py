@@ -20,7 +20,7 @@ from telemsg.plans.batch import attach_family_dimension
 from telemsg.plans.refresh import refresh_codec
 from telemsg.plans.registered import MSG_COLS, _joined
 from telemsg.plans.registered_more import _documents
-from telemsg.plans.sinks import save_with_summary, shared_path, write_bucketed, write_table
+from telemsg.plans.sinks import save_with_summary, shared_path, whole_variants, write_bucketed, write_table
 from telemsg.sample.standin import sample_catalogue, telemetry_from_events, vehicles_from_customer
 from telemsg.sample.wide import BYTES, MSG, wide_codec, wide_message
 from telemsg.sources.conversions import read_layout_csv, read_layouts, read_linear, read_table, write_layout_json
@@ -78,7 +78,8 @@ def variant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D10-D12, X1, X2, X5 with the documents kept as VARIANT in a table: parsed once a row, then read by path."""
     path = shared_path(spark, "documents")
     d = _documents(spark, sf_dir).select("event_id", "msg", documents.as_variant(F.col("document")).alias("document"))
-    write_table(d, path, "overwrite")
+    with whole_variants(spark):
+        write_table(d, path, "overwrite")
     doc = F.col("document")
     return read_any(spark, path).select(
         "event_id", "msg", documents.member(doc, "error").alias("error"),

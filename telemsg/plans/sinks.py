@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -66,6 +67,20 @@ def write_table(df: DataFrame, table_or_path: str, mode: str = "overwrite", part
         w.saveAsTable(table_or_path)
 
 
+@contextmanager
+def whole_variants(spark) -> Iterator[None]:
+    """Writes inside keep every VARIANT as one value. Otherwise Spark looks through the first rows for paths to shred and
+    lays out a column a path: with a document of a hundred paths each is split up on writing and put together again on
+    reading, at several times the cost of the values themselves."""
+    key = "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def with_run_metadata(df: DataFrame, pipeline_version: str, config_version: str, stamp=None) -> DataFrame:
     """K5: processing_timestamp (now, or ``stamp``), pipeline_version, config_version columns."""
     return df.withColumns(

@@ -79,3 +79,55 @@ def test_saved_counts_come_from_the_write(spark, tmp_path):
     out = save_with_summary(df, str(tmp_path / "t"), "1", "2", [("A", 1), ("Z", 9)])
     assert sorted((r.MODEL_CODE or "", r.rows, r.total_rows) for r in out.collect()) == [("", 2, 4), ("A", 2, 4), ("Z", 0, 4)]
     assert spark.read.parquet(str(tmp_path / "t")).select("processing_timestamp").distinct().collect() == out.select("processing_timestamp").distinct().collect()
+
+
+def test_whole_variants_are_one_value_a_row(spark, tmp_path):
+    """No column a path in the files, the same values, and the session's own setting afterwards."""
+    import pyarrow.parquet as pq
+
+    from telemsg.operators import documents as D
+    from telemsg.plans.sinks import whole_variants, write_table
+
+    key, path = "spark.sql.variant.inferShreddingSchema", str(tmp_path / "v")
+    before = spark.conf.get(key, None)
+    text = F.format_string('{"error": "e%d", "decoded_values": {"a": {"decoded_value": "%d"}, "b": {"decoded_value": "x"}}}', "id", "id")
+    with whole_variants(spark):
+        write_table(spark.range(300).coalesce(1).select("id", D.as_variant(text).alias("d")), path)
+    assert spark.conf.get(key, None) == before
+    for f in Path(path).glob("*.parquet"):
+        assert sorted(c.path for c in pq.ParquetFile(f).schema) == ["d.metadata", "d.value", "id"]
+    got = spark.read.parquet(path).select("id", D.member(F.col("d"), "error").alias("e"), D.field_value(F.col("d"), "a", "int").alias("a"), D.field_count(F.col("d")).alias("n"))
+    assert all((r.e, r.a, r.n) == (f"e{r.id}", r.id, 2) for r in got.collect())
+
+
+def test_decoded_rows_carry_no_codec_fields(spark, tmp_path):
+    """The rows of the compiled decode are those of the interpreted one, and hold of the codec what documents show."""
+    from telemsg.operators.decode import decode
+    from telemsg.operators.validate import validity_expr
+    from telemsg.plans.batch import attach_family_dimension
+    from telemsg.plans.registered import MSG_COLS, _decoded_rows, _dimension, _joined
+
+    sf = str(tmp_path)
+    e = spark.range(600).select(
+        F.when(F.col("id") % 97 != 0, F.col("id") % 500).alias("event_id"), F.timestamp_seconds(F.col("id") * 977 + 1704067200).alias("ts"),
+        F.when(F.col("id") % 89 != 0, F.col("id") % 40).alias("user_id"), F.lit("click").alias("event_type"), F.col("id").cast("double").alias("value"),
+    )
+    e.write.parquet(f"{sf}/events.parquet")
+    names = F.array(*[F.lit(x) for x in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "XX")])
+    c = spark.range(42).select(
+        (F.col("id") % 40).alias("c_custkey"), F.lit("n").alias("c_name"), F.when(F.col("id") % 11 != 0, F.col("id") % 25).cast("int").alias("c_nationkey"),
+        names[(F.col("id") % 7).cast("int") % 6].alias("c_mktsegment"),
+    )
+    c.write.parquet(f"{sf}/customer.parquet")
+    got = _decoded_rows(spark, sf)
+    assert got.schema["codec"].dataType.fieldNames() == ["layout_name", "broken"]
+    df = attach_family_dimension(_joined(spark, sf), _dimension(spark, False))
+    texts = lambda d: sorted(map(str, d.collect()))
+    keys = ["event_id", "MODEL_CODE", "MODEL_YEAR", "msg", "text", "is_valid", F.col("codec.layout_name").alias("layout"), F.col("codec.broken").alias("broken"), "decoded"]
+    wanted = []
+    for m, col in MSG_COLS.items():
+        valid = F.coalesce(validity_expr(F.col(col), F.col(f"{m}_reference_len")), F.lit(False))
+        one = df.withColumns({"msg": F.lit(m), "text": F.col(col), "codec": F.col(f"{m}_codec"), "is_valid": valid})
+        wanted += texts(decode(one, "text", "codec", "decoded", valid_col="is_valid").select(*keys))
+    found = texts(got.select(*keys))
+    assert len(found) > 1000 and found == sorted(wanted) and sum("decoded=[" in x for x in found) > 100
